@@ -1,0 +1,20 @@
+"""Size-checked broadcast for dimension tables.
+
+A side is broadcast only after counting it (with ``limit`` so the count costs
+at most ``max_rows + 1`` rows even if the table is huge). Beyond the bound the
+plain frame is returned and Spark plans a shuffle join; AQE may still turn it
+into a broadcast at run time from the measured shuffle size. Derived
+intermediate frames are left to AQE alone, so they are not computed twice.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
