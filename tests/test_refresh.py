@@ -1,0 +1,89 @@
+"""Table refresh, seeding and station multiplicity."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from palmyra.operators.refresh import replace_keys, replace_where
+from palmyra.plans import rainfall
+from palmyra.sources.writers import current_version, publish, read_current, scratch_path
+
+T_SCHEMA = "Tahun int, Bulan int, KodeKebun string, v double"
+
+
+def test_replace_year_with_empty_frame_deletes_year(spark):
+    t = spark.createDataFrame([(2023, 1, "A", 1.0), (2024, 1, "A", 2.0), (2024, 2, "B", 3.0)],
+                              T_SCHEMA)
+    empty = spark.createDataFrame([], T_SCHEMA)
+    out = replace_where(t, empty, F.col("Tahun") == 2024).collect()
+    assert [tuple(r) for r in out] == [(2023, 1, "A", 1.0)]
+
+
+def test_replace_keys_null_part_keeps_old_row(spark):
+    t = spark.createDataFrame([(2024, 1, None, 1.0), (2024, 1, "A", 2.0), (2024, 2, "A", 3.0)],
+                              T_SCHEMA)
+    new = spark.createDataFrame([(2024, 1, None, 10.0), (2024, 1, "A", 20.0)], T_SCHEMA)
+    out = [tuple(r) for r in replace_keys(t, new, ["Tahun", "Bulan", "KodeKebun"]).collect()]
+    assert (2024, 1, None, 1.0) in out and (2024, 1, None, 10.0) in out
+    assert (2024, 1, "A", 2.0) not in out and (2024, 1, "A", 20.0) in out
+    assert (2024, 2, "A", 3.0) in out and len(out) == 4
+
+
+def test_replace_is_idempotent(spark):
+    t = spark.createDataFrame([(2024, 1, "A", 1.0), (2024, 2, "A", 3.0)], T_SCHEMA)
+    new = spark.createDataFrame([(2024, 2, "A", 9.0)], T_SCHEMA)
+    once = replace_keys(t, new, ["Tahun", "Bulan", "KodeKebun"])
+    twice = replace_keys(once, new, ["Tahun", "Bulan", "KodeKebun"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+
+
+BAL_SCHEMA = ("Tahun int, Bulan int, KodeKebun string, TipeKebun string, RainyDays long, "
+              "RainFallValueAVG double, WaterReserve double, WaterEvapotranspiration int, "
+              "WaterBalance double, WaterReserveAfterEvapor double, WaterDeficit double")
+
+
+def _hist(spark, periods):
+    return spark.createDataFrame(
+        [(y, m, "E", "T", 5, 10.0, 1.0, 150, 2.0, 3.0, 0.0) for y, m in periods], BAL_SCHEMA)
+
+
+def test_seed_january_is_last_december(spark):
+    h = _hist(spark, [(2023, 11), (2023, 12), (2024, 1)])
+    seed = rainfall.seed_rows(h, dt.date(2024, 1, 15)).collect()
+    assert [(r.Tahun, r.Bulan) for r in seed] == [(2023, 12)]
+
+
+def test_seed_may_without_april_is_last_december(spark):
+    h = _hist(spark, [(2023, 12), (2024, 3)])
+    seed = rainfall.seed_rows(h, dt.date(2024, 5, 2)).collect()
+    assert [(r.Tahun, r.Bulan) for r in seed] == [(2023, 12)]
+    h2 = _hist(spark, [(2023, 12), (2024, 4)])
+    assert [(r.Tahun, r.Bulan) for r in rainfall.seed_rows(h2, dt.date(2024, 5, 2)).collect()] \
+        == [(2024, 4)]
+
+
+def test_duplicated_station_counts_readings_twice(spark):
+    readings = spark.createDataFrame(
+        [(2024, 1, "E", "L1", dt.date(2024, 1, d), 10.0) for d in (1, 2, 3)]
+        + [(2024, 1, "E", "L2", dt.date(2024, 1, 1), 20.0)],
+        "Tahun int, Bulan int, Estate string, Lokasi string, Date date, RainFallValue double")
+    stations = spark.createDataFrame([("E", "L1"), ("E", "L1"), ("E", "L2")],
+                                     "StationEstate string, StationLokasi string")
+    units = spark.createDataFrame([("E", "Mineral")], "Unit string, UnitType string")
+    r = rainfall.monthly_rainfall(readings, stations, units).collect()[0]
+    # L1's three readings count twice: sum 60 + 20 = 80 over 2 locations.
+    assert r.RainFallValueAVG == (2 * 30.0 + 20.0) / 2
+    assert r.RainyDays == 3 and r.TipeKebun == "Mineral"
+    assert r.WaterEvapotranspiration == 150  # 7 readings <= 10
+
+
+def test_publish_versions(spark):
+    base = scratch_path(spark, "publish-test")
+    assert current_version(spark, base) is None
+    t = spark.createDataFrame([(2024, 1, "A", 1.0)], T_SCHEMA)
+    assert publish(t, base) == 1
+    nxt = replace_where(read_current(spark, base), spark.createDataFrame([], T_SCHEMA),
+                        F.col("Tahun") == 2024)
+    assert publish(nxt, base) == 2
+    assert read_current(spark, base).count() == 0
+    assert spark.read.parquet(f"{base}/v=1").count() == 1
