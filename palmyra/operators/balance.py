@@ -77,11 +77,12 @@ def capped_balance(
         stored(balance_col).alias("_b0"),
         stored(close_col).alias("_c0"),
     )
-    out_type = T.ArrayType(T.StructType(
-        [T.StructField(c, schema[c]) for c in order + payload]
-        + [T.StructField(c, T.DoubleType()) for c in (reserve_col, balance_col, close_col)]
-    ))
+    state_type = T.ArrayType(T.StructType(
+        [T.StructField(c, T.DoubleType()) for c in (reserve_col, balance_col, close_col)]))
 
+    # The fold carries only the three doubles per row; payload columns are
+    # zipped back from the sorted input afterwards instead of being copied
+    # on every step.
     def step(acc, x):
         keep = x["_fixed"] | (x["_opening"] & (F.size(acc["out"]) == 0))
         prev = acc["r"] if mode == "reference" else acc["c"]
@@ -89,22 +90,23 @@ def capped_balance(
         bal = F.when(keep, x["_b0"]).otherwise(computed)
         close = F.when(keep, x["_c0"]).otherwise(clamp(computed, 0.0, capacity))
         reserve = F.when(keep, x["_r0"]).otherwise(acc["c"])
-        out_row = F.struct(
-            *[x[c].alias(c) for c in order + payload],
-            reserve.alias(reserve_col), bal.alias(balance_col), close.alias(close_col),
-        ).cast(out_type.elementType)
         return F.struct(
             reserve.alias("r"), close.alias("c"),
-            F.array_append(acc["out"], out_row).alias("out"),
+            F.array_append(acc["out"], F.struct(reserve.alias(reserve_col), bal.alias(balance_col),
+                                                close.alias(close_col))).alias("out"),
         )
 
     init = F.struct(
         F.lit(0.0).alias("r"), F.lit(0.0).alias("c"),
-        F.array().cast(out_type).alias("out"),
+        F.array().cast(state_type).alias("out"),
     )
+    sorted_rows = F.sort_array(F.collect_list(row)).alias("_rows")
     folded = (
-        df.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-        .select(*keys, F.inline(F.aggregate("_rows", init, step, lambda acc: acc["out"])))
+        df.groupBy(*keys).agg(sorted_rows)
+        .select(*keys, F.inline(F.arrays_zip(
+            F.col("_rows"),
+            F.aggregate("_rows", init, step, lambda acc: acc["out"]).alias("_state"))))
+        .select(*keys, *[F.col("_rows")[c].alias(c) for c in order + payload],
+                *[F.col("_state")[c].alias(c) for c in (reserve_col, balance_col, close_col)])
     )
     return folded.withColumn(deficit_col, deficit(balance_col))

@@ -45,11 +45,19 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
                "left")
     w = F.coalesce(F.col("_mult"), F.lit(1))
     day = F.dayofmonth("Date")
-    monthly = r.groupBy("Tahun", "Bulan", F.col("Estate").alias("KodeKebun")).agg(
-        F.count_distinct(day).alias("RainyDays"),
-        F.try_divide(F.sum(F.coalesce(F.col("RainFallValue"), F.lit(0.0)) * w),
-                     F.count_distinct("Lokasi")).alias("RainFallValueAVG"),
-        F.sum(F.when(day.isNotNull(), w).otherwise(0)).alias("_n_readings"),
+    # Two plain aggregates instead of two COUNT(DISTINCT): per location, then
+    # per estate-month. Distinct days are the bits set in an OR of 1 << day
+    # (days 1..31 fit a long); distinct locations are the non-null location
+    # groups. Both levels aggregate partially before their shuffle.
+    per_location = r.groupBy("Tahun", "Bulan", "Estate", "Lokasi").agg(
+        F.sum(F.coalesce(F.col("RainFallValue"), F.lit(0.0)) * w).alias("_sum"),
+        F.sum(F.when(day.isNotNull(), w).otherwise(0)).alias("_n"),
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), dayofmonth(`Date`))")).alias("_days"))
+    monthly = per_location.groupBy("Tahun", "Bulan", F.col("Estate").alias("KodeKebun")).agg(
+        F.coalesce(F.bit_count(F.bit_or("_days")).cast("long"), F.lit(0).cast("long"))
+        .alias("RainyDays"),
+        F.try_divide(F.sum("_sum"), F.count("Lokasi")).alias("RainFallValueAVG"),
+        F.sum("_n").alias("_n_readings"),
     ).withColumn("WaterEvapotranspiration", evapotranspiration("_n_readings"))
     units = broadcast_if_small(unit_types)
     return (monthly.join(units, monthly["KodeKebun"] == units["Unit"])

@@ -19,14 +19,18 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "palmyra") -> SparkSession:
+                app_name: str = "palmyra", driver_memory: str = "16g") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task inside the driver JVM.
+            builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
