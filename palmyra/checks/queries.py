@@ -23,7 +23,7 @@ from palmyra.operators.refresh import append, replace_all, replace_keys, replace
 from palmyra.plans import bjr as bjr_plan
 from palmyra.plans import rainfall, weighbridge
 from palmyra.sources.tables import positional
-from palmyra.sources.writers import export_csv, read_csv, scratch_path
+from palmyra.sources.writers import cut_lineage, export_csv, read_csv, scratch_path
 
 # Parameters of the stand-in runs.
 EPOCH = (1995, 1)
@@ -99,7 +99,9 @@ def q_initial_balance_intended(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _update(spark, d, as_of, history_filter):
-    history = _initial(spark, d, "reference").where(history_filter)
+    # The stored balance table: written once to the shared checkpoint folder,
+    # as the monthly job reads it from storage.
+    history = cut_lineage(_initial(spark, d, "reference").where(history_filter))
     return rounded(rainfall.update_balance(*_rain_inputs(spark, d), history, as_of,
                                            capacity=CAPACITY, mode="reference"))
 
@@ -195,7 +197,7 @@ def q_prorate_netto(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_load_wb_actual(spark: SparkSession, d: str) -> DataFrame:
-    existing = weighbridge.prorate_netto(*_wb_inputs(spark, d))
+    existing = cut_lineage(weighbridge.prorate_netto(*_wb_inputs(spark, d)))
     out = weighbridge.load_wb_actual(standin(spark, d, "bjr"), standin(spark, d, "weighbridge"),
                                      existing, AS_OF_WB, exclude=WB_EXCLUDE)
     return rounded(out)

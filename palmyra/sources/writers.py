@@ -38,10 +38,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/palmyra/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialize ``df`` as a parquet table in the shared checkpoint folder
+    and continue from that table: one pass, columnar, and a lost executor
+    only recomputes from the written table, never the lineage before it.
+    (``DataFrame.checkpoint`` would compute the plan twice.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _commits(base: str) -> str:
