@@ -27,10 +27,10 @@ def wh(spark, sf0001):
     w = jobs.Warehouse(scratch_path(spark, "warehouse"))
     for t in L1:
         df = standin(spark, sf0001, t)
-        writer = df.write
         if t == "readings":
-            writer = writer.partitionBy("Tahun", "Bulan")
-        writer.parquet(w.path(t))
+            jobs.append_readings(df, w, 0)
+        else:
+            df.write.parquet(w.path(t))
     return w
 
 
