@@ -98,12 +98,12 @@ def q_initial_balance_intended(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_initial(spark, d, "intended"))
 
 
-def _update(spark, d, as_of, history_filter):
+def _update(spark, d, as_of, history_filter, mode="reference"):
     # The stored balance table: written once to the shared checkpoint folder,
     # as the monthly job reads it from storage.
-    history = cut_lineage(_initial(spark, d, "reference").where(history_filter))
+    history = cut_lineage(_initial(spark, d, mode).where(history_filter))
     return rounded(rainfall.update_balance(*_rain_inputs(spark, d), history, as_of,
-                                           capacity=CAPACITY, mode="reference"))
+                                           capacity=CAPACITY, mode=mode))
 
 
 def _before(as_of):
@@ -114,6 +114,10 @@ def q_update_balance(spark: SparkSession, d: str) -> DataFrame:
     return _update(spark, d, AS_OF_UPDATE, _before(AS_OF_UPDATE))
 
 
+def q_update_balance_intended(spark: SparkSession, d: str) -> DataFrame:
+    return _update(spark, d, AS_OF_UPDATE, _before(AS_OF_UPDATE), mode="intended")
+
+
 def q_update_balance_january(spark: SparkSession, d: str) -> DataFrame:
     return _update(spark, d, AS_OF_JANUARY, _before(AS_OF_JANUARY))
 
@@ -269,6 +273,7 @@ QUERIES = {
     "initial_balance_reference": q_initial_balance_reference,
     "initial_balance_intended": q_initial_balance_intended,
     "update_balance": q_update_balance,
+    "update_balance_intended": q_update_balance_intended,
     "update_balance_january": q_update_balance_january,
     "update_balance_fallback": q_update_balance_fallback,
     "period_union": q_period_union,
@@ -354,9 +359,10 @@ def _sql_initial(mode: str) -> str:
                          recursive=True)
 
 
-def _sql_update(as_of: dt.date, history_where: str) -> str:
+def _sql_update(as_of: dt.date, history_where: str, mode: str = "reference") -> str:
     y, m = as_of.year, as_of.month
-    body = _balance_ctes("reference") + f""",
+    prev = "s.WaterReserve" if mode == "reference" else "s.WaterReserveAfterEvapor"
+    body = _balance_ctes(mode) + f""",
 hist AS (SELECT * FROM init WHERE {history_where}),
 slice AS (
   SELECT * FROM hist WHERE Tahun = {y} AND Bulan = {m - 1}
@@ -369,7 +375,7 @@ newm AS (SELECT * FROM mt WHERE Tahun = {y} AND Bulan = {m}),
 newc AS (
   SELECT n.Tahun, n.Bulan, n.KodeKebun, n.TipeKebun, n.RainyDays, n.avg_rain AS RainFallValueAVG,
          coalesce(s.WaterReserveAfterEvapor, 0.0) AS WaterReserve, n.et AS WaterEvapotranspiration,
-         CAST((n.avg_rain + coalesce(s.WaterReserve, 0.0)) - n.et AS DOUBLE) AS WaterBalance
+         CAST((n.avg_rain + coalesce({prev}, 0.0)) - n.et AS DOUBLE) AS WaterBalance
   FROM newm n LEFT JOIN seed s ON s.KodeKebun = n.KodeKebun),
 frame AS (
   SELECT Tahun, Bulan, KodeKebun, TipeKebun, RainyDays, RainFallValueAVG, WaterReserve,
@@ -516,6 +522,9 @@ FROM readings a FULL JOIN stations b ON b.StationEstate = a.Estate AND b.Station
     "initial_balance_reference": _sql_initial("reference"),
     "initial_balance_intended": _sql_initial("intended"),
     "update_balance": _sql_update(AS_OF_UPDATE, f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}"),
+    "update_balance_intended": _sql_update(AS_OF_UPDATE,
+                                           f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}",
+                                           "intended"),
     "update_balance_january": _sql_update(AS_OF_JANUARY,
                                           f"Tahun * 12 + Bulan < {_idx(AS_OF_JANUARY)}"),
     "update_balance_fallback": _sql_update(AS_OF_FALLBACK, f"Tahun < {AS_OF_FALLBACK.year}"),
