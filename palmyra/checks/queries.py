@@ -85,9 +85,9 @@ def q_full_join_stations(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rainfall.readings_with_stations(readings, stations))
 
 
-def _initial(spark, d, mode):
+def _initial(spark, d, mode, chunk_by_year=False):
     return rainfall.initial_balance(*_rain_inputs(spark, d), epoch=EPOCH, opening=OPENING,
-                                    capacity=CAPACITY, mode=mode)
+                                    capacity=CAPACITY, mode=mode, chunk_by_year=chunk_by_year)
 
 
 def q_initial_balance_reference(spark: SparkSession, d: str) -> DataFrame:
@@ -98,6 +98,10 @@ def q_initial_balance_intended(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_initial(spark, d, "intended"))
 
 
+def q_initial_balance_chunked(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_initial(spark, d, "reference", chunk_by_year=True))
+
+
 def _update(spark, d, as_of, history_filter, mode="reference"):
     # The stored balance table: written once to the shared checkpoint folder,
     # as the monthly job reads it from storage.
@@ -272,6 +276,7 @@ QUERIES = {
     "full_join_stations": q_full_join_stations,
     "initial_balance_reference": q_initial_balance_reference,
     "initial_balance_intended": q_initial_balance_intended,
+    "initial_balance_chunked": q_initial_balance_chunked,
     "update_balance": q_update_balance,
     "update_balance_intended": q_update_balance_intended,
     "update_balance_january": q_update_balance_january,
@@ -521,6 +526,7 @@ SELECT a.Tahun, a.Bulan, a.Estate, a.Lokasi, a.Date, {R("a.RainFallValue")} AS R
 FROM readings a FULL JOIN stations b ON b.StationEstate = a.Estate AND b.StationLokasi = a.Lokasi"""),
     "initial_balance_reference": _sql_initial("reference"),
     "initial_balance_intended": _sql_initial("intended"),
+    "initial_balance_chunked": _sql_initial("reference"),
     "update_balance": _sql_update(AS_OF_UPDATE, f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}"),
     "update_balance_intended": _sql_update(AS_OF_UPDATE,
                                            f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}",

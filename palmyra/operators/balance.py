@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,7 @@ def capped_balance(
     balance_col: str = "WaterBalance",
     close_col: str = "WaterReserveAfterEvapor",
     deficit_col: str = "WaterDeficit",
+    chunk: str | None = None,
 ) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -77,12 +78,51 @@ def capped_balance(
         stored(balance_col).alias("_b0"),
         stored(close_col).alias("_c0"),
     )
+    state_cols = (reserve_col, balance_col, close_col)
+    sorted_rows = F.sort_array(F.collect_list(row)).alias("_rows")
+    if chunk is None:
+        grouped = df.groupBy(*keys).agg(sorted_rows)
+        states = _fold_states("_rows", F.lit(0.0), F.lit(0.0), mode, capacity, state_cols)
+    else:
+        if opening:
+            # The opening row counts only as the first row of its key.
+            first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+            df = _join_null_safe(df, first, keys, "left").withColumn(
+                "_fixed_any", F.coalesce(F.col(fixed), F.lit(False)) if fixed else F.lit(False))
+            df = df.withColumn("_fixed_any", F.col("_fixed_any") | F.coalesce(
+                F.col(opening) & (F.struct(*order) == F.col("_first")), F.lit(False)))
+            row = row.withField("_fixed", F.col("_fixed_any")).withField("_opening", F.lit(False))
+            sorted_rows = F.sort_array(F.collect_list(row)).alias("_rows")
+        grouped = df.groupBy(*keys, chunk).agg(sorted_rows)
+        incoming = _chunk_openings(grouped, keys, chunk, mode, capacity)
+        grouped = _join_null_safe(grouped, incoming, keys + [chunk], "inner").drop(chunk)
+        states = _fold_states("_rows", F.col("_r_in"), F.col("_c_in"), mode, capacity, state_cols)
+    folded = (
+        grouped.select(*keys, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
+        .select(*keys, *[F.col("_rows")[c].alias(c) for c in order + payload],
+                *[F.col("_state")[c].alias(c) for c in state_cols])
+    )
+    return folded.withColumn(deficit_col, deficit(balance_col))
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
+    """Equi-join on ``on`` where NULL matches NULL; keeps the left key columns."""
+    lt, rt = left.alias("_l"), right.alias("_r")
+    cond = None
+    for k in on:
+        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+        cond = c if cond is None else cond & c
+    rest = [c for c in right.columns if c not in on]
+    return lt.join(rt, cond, how).select("_l.*", *[F.col(f"_r.{c}") for c in rest])
+
+
+def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> Column:
+    """Sequential fold over sorted rows from state (r0, c0). It carries only
+    three doubles per row; the payload is zipped back by the caller."""
+    reserve_col, balance_col, close_col = state_cols
     state_type = T.ArrayType(T.StructType(
-        [T.StructField(c, T.DoubleType()) for c in (reserve_col, balance_col, close_col)]))
+        [T.StructField(c, T.DoubleType()) for c in state_cols]))
 
-    # The fold carries only the three doubles per row; payload columns are
-    # zipped back from the sorted input afterwards instead of being copied
-    # on every step.
     def step(acc, x):
         keep = x["_fixed"] | (x["_opening"] & (F.size(acc["out"]) == 0))
         prev = acc["r"] if mode == "reference" else acc["c"]
@@ -92,21 +132,88 @@ def capped_balance(
         reserve = F.when(keep, x["_r0"]).otherwise(acc["c"])
         return F.struct(
             reserve.alias("r"), close.alias("c"),
-            F.array_append(acc["out"], F.struct(reserve.alias(reserve_col), bal.alias(balance_col),
-                                                close.alias(close_col))).alias("out"),
-        )
+            F.array_append(acc["out"], F.struct(reserve.alias(reserve_col),
+                                                bal.alias(balance_col),
+                                                close.alias(close_col))).alias("out"))
 
-    init = F.struct(
-        F.lit(0.0).alias("r"), F.lit(0.0).alias("c"),
-        F.array().cast(state_type).alias("out"),
-    )
-    sorted_rows = F.sort_array(F.collect_list(row)).alias("_rows")
-    folded = (
-        df.groupBy(*keys).agg(sorted_rows)
-        .select(*keys, F.inline(F.arrays_zip(
-            F.col("_rows"),
-            F.aggregate("_rows", init, step, lambda acc: acc["out"]).alias("_state"))))
-        .select(*keys, *[F.col("_rows")[c].alias(c) for c in order + payload],
-                *[F.col("_state")[c].alias(c) for c in (reserve_col, balance_col, close_col)])
-    )
-    return folded.withColumn(deficit_col, deficit(balance_col))
+    init = F.struct(r0.cast("double").alias("r"), c0.cast("double").alias("c"),
+                    F.array().cast(state_type).alias("out"))
+    return F.aggregate(rows, init, step, lambda acc: acc["out"])
+
+
+# Two-level scan. A row maps the state (reserve, close) of the previous row
+# to its own. Each output component is a clamp-add map x -> min(max(x + a,
+# lo), hi) of one input component, and such maps compose in closed form:
+# (a2, lo2, hi2) after (a1, lo1, hi1) = (a1 + a2, clamp(lo1 + a2, lo2, hi2),
+# clamp(hi1 + a2, lo2, hi2)); a constant is lo = hi. So a whole chunk of rows
+# is one such transform, built inside its chunk; folding the chunk
+# transforms in order gives each chunk's opening state.
+
+_INF = float("inf")
+
+
+def _map(a, lo, hi) -> Column:
+    return F.struct(a.cast("double").alias("a"), lo.cast("double").alias("lo"),
+                    hi.cast("double").alias("hi"))
+
+
+def _between(x, lo, hi) -> Column:
+    return F.least(F.greatest(x, lo), hi)
+
+
+def _after(m2, m1) -> Column:
+    a2 = m2["a"]
+    return _map(m1["a"] + a2, _between(m1["lo"] + a2, m2["lo"], m2["hi"]),
+                _between(m1["hi"] + a2, m2["lo"], m2["hi"]))
+
+
+def _apply(m, x) -> Column:
+    return _between(x + m["a"], m["lo"], m["hi"])
+
+
+def _part(from_c, m) -> Column:
+    return F.struct(from_c.alias("from_c"), m.alias("m"))
+
+
+def _row_transform(x, mode: str, capacity: float) -> Column:
+    ident = _map(F.lit(0.0), F.lit(-_INF), F.lit(_INF))
+    step = _map(x["_in"] - x["_out"], F.lit(0.0), F.lit(capacity))
+    moving = F.struct(_part(F.lit(True), ident).alias("R"),
+                      _part(F.lit(mode != "reference"), step).alias("C"))
+    fixed = F.struct(_part(F.lit(False), _map(F.lit(0.0), x["_r0"], x["_r0"])).alias("R"),
+                     _part(F.lit(False), _map(F.lit(0.0), x["_c0"], x["_c0"])).alias("C"))
+    return F.when(x["_fixed"], fixed).otherwise(moving)
+
+
+def _then(t1, t2) -> Column:
+    """Transform t2 after t1."""
+    def comp(p2):
+        src = F.when(p2["from_c"], t1["C"]).otherwise(t1["R"])
+        return _part(src["from_c"], _after(p2["m"], src["m"]))
+    return F.struct(comp(t2["R"]).alias("R"), comp(t2["C"]).alias("C"))
+
+
+def _chunk_openings(grouped: DataFrame, keys, chunk: str, mode: str,
+                    capacity: float) -> DataFrame:
+    ident = _map(F.lit(0.0), F.lit(-_INF), F.lit(_INF))
+    identity = F.struct(_part(F.lit(False), ident).alias("R"),
+                        _part(F.lit(True), ident).alias("C"))
+    transforms = grouped.select(*keys, chunk, F.aggregate(
+        "_rows", identity, lambda acc, x: _then(acc, _row_transform(x, mode, capacity))
+    ).alias("_t"))
+    per_key = transforms.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(chunk, "_t"))).alias("_ts"))
+    out_type = "array<struct<{}:{},_r_in:double,_c_in:double>>".format(
+        chunk, dict(grouped.dtypes)[chunk])
+
+    def step(acc, x):
+        t = x["_t"]
+        r = _apply(t["R"]["m"], F.when(t["R"]["from_c"], acc["c"]).otherwise(acc["r"]))
+        c = _apply(t["C"]["m"], F.when(t["C"]["from_c"], acc["c"]).otherwise(acc["r"]))
+        entry = F.struct(x[chunk].alias(chunk), acc["r"].alias("_r_in"), acc["c"].alias("_c_in"))
+        return F.struct(r.alias("r"), c.alias("c"),
+                        F.array_append(acc["out"], entry).alias("out"))
+
+    init = F.struct(F.lit(0.0).alias("r"), F.lit(0.0).alias("c"),
+                    F.array().cast(out_type).alias("out"))
+    return per_key.select(*keys, F.inline(F.aggregate("_ts", init, step, lambda a: a["out"])))

@@ -67,12 +67,17 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
 
 def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFrame, *,
                     epoch: tuple[int, int] = (2022, 11), opening: float = 200.0,
-                    capacity: float = CAPACITY, mode: str = "reference") -> DataFrame:
+                    capacity: float = CAPACITY, mode: str = "reference",
+                    chunk_by_year: bool = False) -> DataFrame:
     """Full rebuild of the balance table.
 
     An estate whose first month is the epoch opens with ``opening`` in
     reserve and a balance of ``opening + mean - ET``, ET taken from the
-    number of distinct rainy days; any other first month opens at 0."""
+    number of distinct rainy days; any other first month opens at 0.
+
+    ``chunk_by_year`` runs the fold as a two-level scan (per estate-year,
+    then across years), so no task ever holds more than one year of an
+    estate plus one summary row per year."""
     m = monthly_rainfall(readings, stations, unit_types)
     ey, em = epoch
     bal0 = (F.lit(opening) + F.col("RainFallValueAVG")
@@ -86,7 +91,7 @@ def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFr
     )
     out = capped_balance(m, ["KodeKebun"], ["Tahun", "Bulan"], "RainFallValueAVG",
                          "WaterEvapotranspiration", mode=mode, capacity=capacity,
-                         opening="_epoch")
+                         opening="_epoch", chunk="Tahun" if chunk_by_year else None)
     return out.select(*BALANCE_COLUMNS)
 
 

@@ -153,3 +153,34 @@ def test_proration_matches_self_join(spark):
         assert a[:4] == b[:4]
         for x, y in zip(a[4:], b[4:]):
             assert (x is None and y is None) or x == pytest.approx(y)
+
+
+@pytest.mark.parametrize("mode", ["reference", "intended"])
+def test_chunked_balance_equals_single_level(spark, mode):
+    rnd = random.Random(21)
+    data = []
+    for e in range(12):
+        periods = sorted(rnd.sample(range(0, 120), rnd.randint(1, 60)))
+        for j, p in enumerate(periods):
+            inflow = rnd.uniform(0, 320)
+            seed = rnd.random() < 0.05
+            opening = j == 0 and e % 2 == 0
+            data.append((None if e == 11 else f"E{e}", 2000 + p // 12, p % 12 + 1, inflow,
+                         rnd.choice([120, 150]),
+                         (200.0 if opening else rnd.uniform(0, 200)) if opening or seed else None,
+                         rnd.uniform(-50, 300) if opening or seed else None,
+                         rnd.uniform(0, 200) if opening or seed else None, seed, opening))
+    df = spark.createDataFrame(data, "k string, y int, m int, inflow double, outflow int, "
+                                     "WaterReserve double, WaterBalance double, "
+                                     "WaterReserveAfterEvapor double, seed boolean, op boolean")
+    args = (["k"], ["y", "m"], "inflow", "outflow")
+    one = capped_balance(df, *args, mode=mode, fixed="seed", opening="op")
+    two = capped_balance(df, *args, mode=mode, fixed="seed", opening="op", chunk="y")
+    key = ["k", "y", "m"]
+    a = one.orderBy(*key).collect()
+    b = two.select(*one.columns).orderBy(*key).collect()
+    assert len(a) == len(b) == len(data)
+    for ra, rb in zip(a, b):
+        assert (ra.k, ra.y, ra.m) == (rb.k, rb.y, rb.m)
+        for c in ("WaterReserve", "WaterBalance", "WaterReserveAfterEvapor", "WaterDeficit"):
+            assert ra[c] == pytest.approx(rb[c], abs=1e-9), (ra, rb)
