@@ -23,6 +23,30 @@ DEFAULTS = {
 }
 
 
+# Cluster runs (100 TB of readings and weighbridge rows): large input splits,
+# a high initial shuffle partition count that AQE coalesces to ~256 MB per
+# partition, skewed join partitions split at runtime, and a broadcast
+# threshold that AQE applies to measured shuffle sizes. Applied only where
+# the submitter left a setting unset.
+CLUSTER_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> None:
+    submitted = spark.sparkContext.getConf()
+    for k, v in CLUSTER_DEFAULTS.items():
+        if not submitted.contains(k):
+            spark.conf.set(k, v)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "palmyra", driver_memory: str = "16g") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -36,9 +60,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None) and \
+    is_local = (master or spark.sparkContext.master).startswith("local")
+    if not is_local:
+        apply_cluster_defaults(spark)
+    if is_local and not spark.conf.get("spark.checkpoint.dir", None) and \
             spark.sparkContext.getCheckpointDir() is None:
-        # Only for local runs: a cluster names its shared folder itself.
+        # Local runs only. On a cluster the shared folder must come from
+        # spark.checkpoint.dir; writers.shared_dir fails clearly without it.
         d = tempfile.mkdtemp(prefix="palmyra-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
     return spark
