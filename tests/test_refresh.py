@@ -87,3 +87,20 @@ def test_publish_versions(spark):
     assert publish(nxt, base) == 2
     assert read_current(spark, base).count() == 0
     assert spark.read.parquet(f"{base}/v=1").count() == 1
+
+
+def test_empty_inputs_give_empty_outputs(spark):
+    """Q19: an empty fetch raises in the source; here empty in, empty out."""
+    from palmyra.plans.bjr import block_bjr, clean_bjr
+    from palmyra.plans.weighbridge import prorate_netto
+    from palmyra.sources.tables import SCHEMAS
+
+    def empty(t):
+        return spark.createDataFrame([], SCHEMAS[t])
+    assert rainfall.initial_balance(empty("readings"), empty("stations"),
+                                    empty("unit_types")).count() == 0
+    assert rainfall.update_balance(empty("readings"), empty("stations"), empty("unit_types"),
+                                   empty("rainfall_balance"), dt.date(2024, 5, 1)).count() == 0
+    assert clean_bjr(block_bjr(empty("block_fact"), empty("unit"), empty("division"),
+                               empty("block"))).count() == 0
+    assert prorate_netto(empty("bjr"), empty("weighbridge")).count() == 0
