@@ -97,10 +97,21 @@ def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFr
 
 def readings_with_stations(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """The source's FULL JOIN of readings and stations on (estate, location),
-    without the later positive-reading filter."""
-    return readings.join(
-        stations, (readings["Estate"] == stations["StationEstate"])
-        & (readings["Lokasi"] == stations["StationLokasi"]), "full")
+    without the later positive-reading filter.
+
+    A full outer join cannot be broadcast, so written directly it would
+    shuffle every reading. Here it is the readings left-joined to the
+    (size-checked, broadcast) stations, plus the stations that match no
+    reading, found against the distinct reading keys (partially aggregated
+    before their shuffle). Same rows, no shuffle of the readings."""
+    st = broadcast_if_small(stations)
+    matched = readings.join(st, (readings["Estate"] == st["StationEstate"])
+                            & (readings["Lokasi"] == st["StationLokasi"]), "left")
+    keys = readings.select("Estate", "Lokasi").distinct()
+    lonely = stations.join(keys, (stations["StationEstate"] == keys["Estate"])
+                           & (stations["StationLokasi"] == keys["Lokasi"]), "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema.fields]
+    return matched.unionByName(lonely.select(*missing, *stations.columns))
 
 
 def history_slice(history: DataFrame, as_of, columns=BALANCE_COLUMNS) -> DataFrame:

@@ -104,3 +104,19 @@ def test_empty_inputs_give_empty_outputs(spark):
     assert clean_bjr(block_bjr(empty("block_fact"), empty("unit"), empty("division"),
                                empty("block"))).count() == 0
     assert prorate_netto(empty("bjr"), empty("weighbridge")).count() == 0
+
+
+def test_full_join_without_shuffling_readings(spark):
+    readings = spark.createDataFrame(
+        [(2024, 1, "E", "L1", dt.date(2024, 1, 1), 1.0), (2024, 1, "E", "L9", dt.date(2024, 1, 2), 2.0),
+         (2024, 1, None, "L1", dt.date(2024, 1, 3), 3.0)],
+        "Tahun int, Bulan int, Estate string, Lokasi string, Date date, RainFallValue double")
+    stations = spark.createDataFrame([("E", "L1"), ("E", "L1"), ("E", "L2"), (None, "L1")],
+                                     "StationEstate string, StationLokasi string")
+    got = rainfall.readings_with_stations(readings, stations)
+    want = readings.join(stations, (readings["Estate"] == stations["StationEstate"])
+                         & (readings["Lokasi"] == stations["StationLokasi"]), "full")
+
+    def rows(df):
+        return sorted((tuple((v is None, str(v)) for v in r) for r in df.collect()))
+    assert rows(got) == rows(want) and len(rows(got)) == 6
