@@ -85,3 +85,14 @@ def test_p4_year(spark, wh, sf0001):
     wb = standin(spark, sf0001, "weighbridge").where(F.year("FullDate") == 1998)
     expect = weighbridge.prorate_netto(bjr, wb)
     assert stored.count() == expect.count() > 0 and _same(expect, stored)
+
+
+def test_cli_runs_jobs(spark, wh):
+    from palmyra.__main__ import main
+    main(["p1", "--warehouse", wh.root, "--epoch", "1995-01"])
+    n = wh.read(spark, "rainfall_balance").count()
+    main(["p2", "--warehouse", wh.root, "--as-of", "1998-07-31"])
+    assert wh.read(spark, "rainfall_balance").count() == n > 0
+    main(["p3", "--warehouse", wh.root, "--as-of", "1998-04-02", "--exclude", "PROMO",
+          "--code-len", "7"])
+    assert wh.read(spark, "bjr").where("Tahun = 1998 AND Bulan = 4").count() > 0
