@@ -25,6 +25,8 @@ def main(argv=None) -> None:
     p.add_argument("--exclude", help="P3/P4: comma-separated excluded division codes")
     p.add_argument("--code-len", type=int, help="P3/P4: required block-code length")
     p.add_argument("--master", help="Spark master (default: from spark-submit)")
+    p.add_argument("--show", type=int, default=0, metavar="N",
+                   help="print N rows of the refreshed slice after the run")
     a = p.parse_args(argv)
 
     spark = get_session(a.master)
@@ -43,6 +45,25 @@ def main(argv=None) -> None:
         jobs.run_bjr(spark, wh, a.as_of, export_path=a.export, **clean)
     else:
         jobs.run_wb_actual(spark, wh, a.as_of, **clean)
+    if a.show:
+        _show(spark, wh, a.job, a.as_of, a.show)
+
+
+def _show(spark, wh, job: str, as_of, n: int) -> None:
+    """Print a preview of what the job wrote (the source prints its frame)."""
+    from pyspark.sql import functions as F
+
+    from palmyra.functions.periods import period_of
+    y, m = period_of(as_of)
+    if job == "p1":
+        df = wh.read(spark, "rainfall_balance")
+    elif job == "p2":
+        df = wh.read(spark, "rainfall_balance").where((F.col("Tahun") == y) & (F.col("Bulan") == m))
+    elif job == "p3":
+        df = wh.read(spark, "bjr").where((F.col("Tahun") == y) & (F.col("Bulan") == m))
+    else:
+        df = wh.read(spark, "wb_actual").where(F.year("FullDate") == y)
+    df.show(n, truncate=False)
 
 
 if __name__ == "__main__":

@@ -94,5 +94,5 @@ def test_cli_runs_jobs(spark, wh):
     main(["p2", "--warehouse", wh.root, "--as-of", "1998-07-31"])
     assert wh.read(spark, "rainfall_balance").count() == n > 0
     main(["p3", "--warehouse", wh.root, "--as-of", "1998-04-02", "--exclude", "PROMO",
-          "--code-len", "7"])
+          "--code-len", "7", "--show", "3"])
     assert wh.read(spark, "bjr").where("Tahun = 1998 AND Bulan = 4").count() > 0
