@@ -29,11 +29,6 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/palmyra/{name}-{uuid.uuid4().hex}"
 
@@ -69,7 +64,9 @@ def publish(df: DataFrame, base: str) -> int:
     """Write ``df`` as the next version of the table at ``base``; return it."""
     spark = df.sparkSession
     version = (current_version(spark, base) or 0) + 1
-    df.write.mode("errorifexists").parquet(version_path(base, version))
+    # A directory for this version can only be left by a failed attempt (it
+    # was never logged, so never read): overwrite it.
+    df.write.mode("overwrite").parquet(version_path(base, version))
     (spark.range(1)
      .select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
      .write.mode("append").parquet(_commits(base)))
