@@ -4,7 +4,8 @@ Each query runs a library operator or job on the stand-in tables over the
 whole driver tables; the oracle states the same result in plain SQL in the
 shape of the source jobs (full join, correlated totals by self-join,
 recursive CTE for the balance). Doubles are rounded to 6 decimals on both
-sides with the same formula, ``round(x * 1e6) / 1e6``.
+sides with the same formula, ``round(x * 1e6) / 1e6``, and a zero is always
+written as +0.0.
 """
 
 from __future__ import annotations
@@ -41,15 +42,21 @@ BLOCK_CODE_LEN = 7             # block = brand, "Brand#1".."Brand#9"
 WB_EXCLUDE = ("P",)            # division = order status
 
 
+def _r(c):
+    r = F.round(c * 1e6) / 1e6
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[
-        (F.round(F.col(f.name) * 1e6) / 1e6).alias(f.name)
+        _r(F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields])
 
 
 def R(x: str) -> str:
-    return f"round(({x}) * 1e6) / 1e6"
+    r = f"(round(({x}) * 1e6) / 1e6)"
+    return f"CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END"
 
 
 def GD(n: str, d: str) -> str:

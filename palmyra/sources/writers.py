@@ -24,6 +24,11 @@ from pyspark.sql import types as T
 
 def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d and spark.sparkContext.master.startswith("local"):
+        # Local runs and tests only: a cluster must name its shared folder.
+        import tempfile
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="palmyra-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return d.rstrip("/")
