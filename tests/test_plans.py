@@ -95,3 +95,19 @@ def test_library_collects_nothing_whole():
             if n:
                 hits[(f.name, pat)] = n
     assert hits == {("monthly.py", r"\.collect\(\)"): 1}
+
+
+def test_scale_shapes(spark, sf0001):
+    from palmyra.checks.standins import standin
+    from palmyra.plans import weighbridge
+    from palmyra.plans.bjr import clean_bjr
+    r, s, u = (standin(spark, sf0001, t) for t in ("readings", "stations", "unit_types"))
+    # Distinct days and locations without expanding the raw rows.
+    assert "Expand" not in plan(rainfall.monthly_rainfall(r, s, u))
+    # The full join never shuffles the readings for a full outer join.
+    p = plan(rainfall.readings_with_stations(r, s))
+    assert "FullOuter" not in p and "BroadcastHashJoin" in p
+    # Weighbridge rows meet the (small) cleaned BJR table through a broadcast.
+    bjr = clean_bjr(standin(spark, sf0001, "bjr"), exclude=("P",))
+    p = plan(weighbridge.kg_actual(bjr, standin(spark, sf0001, "weighbridge")))
+    assert "SortMergeJoin" not in p and "Left keys [5]" in p, p
