@@ -35,6 +35,13 @@ def station_multiplicity(stations: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_mult"))
 
 
+def duplicate_units(unit_types: DataFrame) -> DataFrame:
+    """Units listed more than once in the unit-type table (an input error:
+    each would double its estate's rows)."""
+    return (unit_types.groupBy("Unit").agg(F.count(F.lit(1)).alias("listed"))
+            .where(F.col("listed") > 1))
+
+
 def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataFrame,
                      *, period: tuple[int, int] | None = None) -> DataFrame:
     r = readings.where(F.col("RainFallValue") > 0)

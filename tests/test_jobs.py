@@ -96,3 +96,13 @@ def test_cli_runs_jobs(spark, wh):
     main(["p3", "--warehouse", wh.root, "--as-of", "1998-04-02", "--exclude", "PROMO",
           "--code-len", "7", "--show", "3"])
     assert wh.read(spark, "bjr").where("Tahun = 1998 AND Bulan = 4").count() > 0
+
+
+def test_duplicate_unit_is_an_input_error(spark, sf0001):
+    w = jobs.Warehouse(scratch_path(spark, "dup-units"))
+    jobs.append_readings(standin(spark, sf0001, "readings"), w, 0)
+    standin(spark, sf0001, "stations").write.parquet(w.path("stations"))
+    units = standin(spark, sf0001, "unit_types")
+    units.unionByName(units.limit(1)).write.parquet(w.path("unit_types"))
+    with pytest.raises(ValueError, match="more than once"):
+        jobs.run_initial_balance(spark, w, epoch=(1995, 1))
