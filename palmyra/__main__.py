@@ -10,6 +10,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from palmyra.functions.scalar import EPOCH
 from palmyra.plans import jobs
 from palmyra.session import get_session
 
@@ -20,7 +21,8 @@ def main(argv=None) -> None:
     p.add_argument("--warehouse", required=True, help="root folder of the warehouse tables")
     p.add_argument("--as-of", default=dt.date.today().isoformat())
     p.add_argument("--mode", choices=["reference", "intended"], default="reference")
-    p.add_argument("--epoch", default="2022-11", help="P1 opening month, YYYY-MM")
+    p.add_argument("--epoch", default="{}-{:02d}".format(*EPOCH),
+                   help="P1 opening month, YYYY-MM")
     p.add_argument("--export", help="P3: CSV export folder")
     p.add_argument("--exclude", help="P3/P4: comma-separated excluded division codes")
     p.add_argument("--code-len", type=int, help="P3/P4: required block-code length")

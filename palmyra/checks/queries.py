@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from palmyra.checks.standins import standin, with_standins
 from palmyra.functions.periods import in_period, period_index
-from palmyra.functions.scalar import guarded_divide
+from palmyra.functions.scalar import CAPACITY as FIXED_CAPACITY
+from palmyra.functions.scalar import DEFAULT_BJR, OPENING_RESERVE, guarded_divide
 from palmyra.operators.fill import forward_fill
 from palmyra.operators.proration import netto_totals
 from palmyra.operators.refresh import append, replace_all, replace_keys, replace_where
@@ -29,8 +30,8 @@ from palmyra.sources.writers import cut_lineage, export_csv, read_csv, scratch_p
 
 # Parameters of the stand-in runs.
 EPOCH = (1995, 1)
-OPENING = 200.0
-CAPACITY = 200.0
+OPENING = OPENING_RESERVE
+CAPACITY = FIXED_CAPACITY
 AS_OF_UPDATE = dt.date(1998, 6, 15)
 AS_OF_JANUARY = dt.date(1998, 1, 20)
 AS_OF_FALLBACK = dt.date(1998, 5, 10)
@@ -168,7 +169,7 @@ def _lineitem_fill(spark, d, chunk):
         li = li.withColumn("_year", F.year("l_shipdate"))
     out = forward_fill(li, "l_discount", ["l_partkey"],
                        ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey"],
-                       "filled", default=4.99, chunk="_year" if chunk else None)
+                       "filled", default=DEFAULT_BJR, chunk="_year" if chunk else None)
     return rounded(out.drop("_year"))
 
 
@@ -451,7 +452,7 @@ def _clean_ctes(src: str, name: str, exclude, code_len: int) -> str:
   FROM {name}_0),
 {name} AS (
   SELECT Tahun, Bulan, KodeKebun, KodeDivisi, KodeBlok, TahunTanam, JenisKegiatan, LuasTanam,
-         BJRSensus, coalesce(fill, 4.99) AS BJRPabrik
+         BJRSensus, coalesce(fill, {DEFAULT_BJR}) AS BJRPabrik
   FROM {name}_1
   WHERE coalesce(KodeDivisi NOT IN ({excl}), true) AND coalesce(length(KodeBlok) = {code_len}, true))"""
 
@@ -473,9 +474,9 @@ def _fill_sql() -> str:
     return f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS l_shipdate,
        {R("l_discount")} AS l_discount,
-       {R('''coalesce(last_value(nullif(l_discount, 0) IGNORE NULLS) OVER (
+       {R(f'''coalesce(last_value(nullif(l_discount, 0) IGNORE NULLS) OVER (
              PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4.99)''')} AS filled
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {DEFAULT_BJR})''')} AS filled
 FROM lineitem"""
 
 

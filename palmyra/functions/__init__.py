@@ -2,6 +2,8 @@ from palmyra.functions.scalar import (  # noqa: F401
     BLOCK_CODE_LENGTH,
     CAPACITY,
     DEFAULT_BJR,
+    EPOCH,
+    OPENING_RESERVE,
     ET_DRY,
     ET_DRY_MAX_COUNT,
     ET_WET,

@@ -12,12 +12,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that the results depend on (they must equal the source jobs).
-# Water balance: reservoir capacity in mm, evapotranspiration per month in mm
-# for a dry month (at most 10 readings) and for a wet month, the reading-count
-# threshold between them, and the default bunch weight (kg) used when no
-# earlier non-zero weight exists. Division codes excluded from bunch-weight
-# output, and the required block-code length.
+# Water balance: reservoir capacity in mm, the epoch month (year, month) whose
+# first balance opens with a full reserve and that opening reserve in mm,
+# evapotranspiration per month in mm for a dry month (at most 10 readings) and
+# for a wet month, the reading-count threshold between them, and the default
+# bunch weight (kg) used when no earlier non-zero weight exists. Division codes
+# excluded from bunch-weight output, and the required block-code length.
 CAPACITY = 200.0
+EPOCH = (2022, 11)
+OPENING_RESERVE = 200.0
 ET_DRY = 150
 ET_WET = 120
 ET_DRY_MAX_COUNT = 10

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palmyra.functions.periods import in_period, last_december, period_index, period_of, previous_month
-from palmyra.functions.scalar import CAPACITY, clamp, evapotranspiration
+from palmyra.functions.scalar import (CAPACITY, EPOCH, OPENING_RESERVE, clamp,
+                                      evapotranspiration)
 from palmyra.operators.balance import capped_balance
 from palmyra.operators.broadcast import broadcast_if_small
 
@@ -73,7 +74,7 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
 
 
 def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFrame, *,
-                    epoch: tuple[int, int] = (2022, 11), opening: float = 200.0,
+                    epoch: tuple[int, int] = EPOCH, opening: float = OPENING_RESERVE,
                     capacity: float = CAPACITY, mode: str = "reference",
                     chunk_by_year: bool = False) -> DataFrame:
     """Full rebuild of the balance table.
