@@ -70,3 +70,34 @@ def test_guarded_divide(spark):
     got = [r.q for r in df.select(guarded_divide("n", "d").alias("q")).collect()]
     assert got == [None, None, 0.0, float("inf"), float("-inf"), 1.5]
     assert df.select(guarded_divide(F.col("n"), F.lit(0)).alias("q")).count() == 6
+
+
+def test_guarded_divide_property(spark):
+    """Against IEEE division with NaN -> 0 and NULL kept, on generated values."""
+    import math
+
+    import numpy as np
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    num = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, -2.0, 1e300]),
+                    st.floats(allow_nan=False, allow_infinity=False, width=32))
+    pairs = st.lists(st.tuples(num, num), min_size=1, max_size=60)
+
+    @settings(max_examples=6, deadline=None)
+    @given(pairs)
+    def check(rows):
+        df = spark.createDataFrame(rows, "n double, d double")
+        got = [r.q for r in df.select(guarded_divide("n", "d").alias("q")).collect()]
+        for (n, d), q in zip(rows, got):
+            if n is None or d is None:
+                assert q is None
+                continue
+            with np.errstate(all="ignore"):
+                e = float(np.float64(n) / np.float64(d))
+            e = 0.0 if math.isnan(e) else e
+            if d == 0 and n != 0:
+                assert q == math.copysign(math.inf, n)
+            else:
+                assert q == e
+    check()
