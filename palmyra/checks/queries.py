@@ -5,7 +5,7 @@ whole driver tables; the oracle states the same result in plain SQL in the
 shape of the source jobs (full join, correlated totals by self-join,
 recursive CTE for the balance). Doubles are rounded to 6 decimals on both
 sides with the same formula, ``round(x * 1e6) / 1e6``, and a zero is always
-written as +0.0.
+written as +0.0. Dates are presented as ISO text on both sides.
 """
 
 from __future__ import annotations
@@ -48,11 +48,16 @@ def _r(c):
     return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
 
 
+def _presented(f: T.StructField):
+    if isinstance(f.dataType, T.DoubleType):
+        return _r(F.col(f.name)).alias(f.name)
+    if isinstance(f.dataType, T.DateType):  # ISO text: same value on any client path
+        return F.col(f.name).cast("string").alias(f.name)
+    return F.col(f.name)
+
+
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        _r(F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-        for f in df.schema.fields])
+    return df.select(*[_presented(f) for f in df.schema.fields])
 
 
 def R(x: str) -> str:
@@ -200,7 +205,10 @@ def _wb_inputs(spark, d):
 
 
 def q_kg_actual(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(weighbridge.kg_actual(*_wb_inputs(spark, d)))
+    # Janjang is a nullable count here; presented as DOUBLE on both sides so
+    # every client (tuples or pandas) sees NULL the same way.
+    out = weighbridge.kg_actual(*_wb_inputs(spark, d))
+    return rounded(out.withColumn("Janjang", F.col("Janjang").cast("double")))
 
 
 def q_netto_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -472,7 +480,8 @@ FROM top1"""
 
 def _fill_sql() -> str:
     return f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS l_shipdate,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate,
        {R("l_discount")} AS l_discount,
        {R(f'''coalesce(last_value(nullif(l_discount, 0) IGNORE NULLS) OVER (
              PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey
@@ -512,7 +521,8 @@ pp{s} AS (SELECT *, {GD("KG_PKS", "Janjang")} AS BJR_PKS FROM pr{s})"""
 
 
 PRORATE_SELECT = f"""
-SELECT FullDate, KodeKebun, ShortNameKebun, KodeDivisi, KodeBlok, TahunTanam, TotalPokok,
+SELECT CAST(FullDate AS VARCHAR) AS FullDate, KodeKebun, ShortNameKebun, KodeDivisi,
+       KodeBlok, TahunTanam, TotalPokok,
        {R("LuasTanam")} AS LuasTanam, {R("netto")} AS netto, Janjang, {R("BJR")} AS BJR,
        {R("KG_Total")} AS KG_Total, {R("KG_ACT")} AS KG_ACT, {R("KG_PKS")} AS KG_PKS,
        {R("BJR_PKS")} AS BJR_PKS"""
@@ -529,7 +539,8 @@ ORACLE = {
 SELECT Tahun, Bulan, KodeKebun, TipeKebun, RainyDays, {R("avg_rain")} AS RainFallValueAVG,
        et AS WaterEvapotranspiration FROM mt"""),
     "full_join_stations": with_standins(RAIN[:2], f"""
-SELECT a.Tahun, a.Bulan, a.Estate, a.Lokasi, a.Date, {R("a.RainFallValue")} AS RainFallValue,
+SELECT a.Tahun, a.Bulan, a.Estate, a.Lokasi, CAST(a.Date AS VARCHAR) AS Date,
+       {R("a.RainFallValue")} AS RainFallValue,
        b.StationEstate, b.StationLokasi
 FROM readings a FULL JOIN stations b ON b.StationEstate = a.Estate AND b.StationLokasi = a.Lokasi"""),
     "initial_balance_reference": _sql_initial("reference"),
@@ -566,11 +577,14 @@ tbl AS (
   UNION ALL
   SELECT * FROM cb)""" + CLEAN_SELECT + " FROM tbl"),
     "kg_actual": with_standins(WB, _kg_ctes() + f"""
-SELECT FullDate, KodeKebun, ShortNameKebun, KodeDivisi, KodeBlok, TahunTanam, TotalPokok,
-       {R("LuasTanam")} AS LuasTanam, {R("netto")} AS netto, Janjang, {R("BJR")} AS BJR,
+SELECT CAST(FullDate AS VARCHAR) AS FullDate, KodeKebun, ShortNameKebun, KodeDivisi,
+       KodeBlok, TahunTanam, TotalPokok,
+       {R("LuasTanam")} AS LuasTanam, {R("netto")} AS netto,
+       CAST(Janjang AS DOUBLE) AS Janjang, {R("BJR")} AS BJR,
        {R("KG_ACT")} AS KG_ACT FROM kg"""),
     "netto_totals": with_standins(WB, _kg_ctes() + f"""
-SELECT FullDate, KodeKebun, KodeDivisi, {R("netto")} AS netto, {R("KG_Total")} AS KG_Total
+SELECT CAST(FullDate AS VARCHAR) AS FullDate, KodeKebun, KodeDivisi, {R("netto")} AS netto,
+       {R("KG_Total")} AS KG_Total
 FROM kt"""),
     "prorate_netto": with_standins(WB, _kg_ctes() + PRORATE_SELECT + " FROM pp"),
     "load_wb_actual": with_standins(WB, _kg_ctes() + _kg_ctes(
