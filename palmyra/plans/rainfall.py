@@ -15,7 +15,7 @@ from palmyra.functions.periods import in_period, last_december, period_index, pe
 from palmyra.functions.scalar import (CAPACITY, EPOCH, OPENING_RESERVE, clamp,
                                       evapotranspiration)
 from palmyra.operators.balance import capped_balance
-from palmyra.operators.broadcast import broadcast_if_small
+from palmyra.operators.broadcast import broadcast_if_small, broadcast_small
 
 BALANCE_COLUMNS = [
     "Tahun", "Bulan", "KodeKebun", "TipeKebun", "RainyDays", "RainFallValueAVG",
@@ -48,7 +48,7 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
     r = readings.where(F.col("RainFallValue") > 0)
     if period is not None:
         r = r.where(in_period("Tahun", "Bulan", period))
-    mult = broadcast_if_small(station_multiplicity(stations))
+    mult, units = broadcast_small(station_multiplicity(stations), unit_types)
     r = r.join(mult, (r["Estate"] == mult["StationEstate"]) & (r["Lokasi"] == mult["StationLokasi"]),
                "left")
     w = F.coalesce(F.col("_mult"), F.lit(1))
@@ -67,7 +67,6 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
         F.try_divide(F.sum("_sum"), F.count("Lokasi")).alias("RainFallValueAVG"),
         F.sum("_n").alias("_n_readings"),
     ).withColumn("WaterEvapotranspiration", evapotranspiration("_n_readings"))
-    units = broadcast_if_small(unit_types)
     return (monthly.join(units, monthly["KodeKebun"] == units["Unit"])
             .select("Tahun", "Bulan", "KodeKebun", F.col("UnitType").alias("TipeKebun"),
                     "RainyDays", "RainFallValueAVG", "WaterEvapotranspiration"))

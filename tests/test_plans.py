@@ -81,8 +81,9 @@ def test_schema_check(spark):
 
 
 def test_library_collects_nothing_whole():
-    """Driver round trips in the library: only scalars and the stream's list
-    of touched months (a handful of rows)."""
+    """Driver round trips in the library: only scalars, the stream's list of
+    touched months and the per-frame counts of a broadcast check (a handful
+    of rows each)."""
     import pathlib
     import re
     root = pathlib.Path(__file__).resolve().parent.parent / "palmyra"
@@ -94,7 +95,8 @@ def test_library_collects_nothing_whole():
             n = len(re.findall(pat, f.read_text()))
             if n:
                 hits[(f.name, pat)] = n
-    assert hits == {("monthly.py", r"\.collect\(\)"): 1}
+    # The stream's touched months, and one count row per size-checked frame.
+    assert hits == {("monthly.py", r"\.collect\(\)"): 1, ("broadcast.py", r"\.collect\(\)"): 1}
 
 
 def test_scale_shapes(spark, sf0001):
