@@ -18,19 +18,3 @@ DEFAULT_MAX_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_small(*dfs: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> list[DataFrame]:
-    """``broadcast_if_small`` for several frames with one job: each frame
-    contributes at most ``max_rows + 1`` tagged rows to a union that is
-    counted per tag (a handful of result rows)."""
-    if len(dfs) == 1:
-        return [broadcast_if_small(dfs[0], max_rows)]
-    probe = None
-    for i, df in enumerate(dfs):
-        part = df.select(F.lit(i).alias("_frame")).limit(max_rows + 1)
-        probe = part if probe is None else probe.unionByName(part)
-    counts = {r["_frame"]: r["n"] for r in
-              probe.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df
-            for i, df in enumerate(dfs)]
