@@ -165,7 +165,7 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes < {warc.MIN_REVISIT_BYTES} OR page_id = first
             THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN payload_bytes >= {warc.MIN_REVISIT_BYTES} AND page_id <> first
-            THEN first END AS refers_to FROM f""",
+            THEN CAST(first AS DOUBLE) END AS refers_to FROM f""",
     "op6_ngram_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 sets AS (

@@ -1,0 +1,95 @@
+import hashlib
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from palmyra.llm import mixing
+
+WEIGHTS = {"domain": {"web": 0.7, "none": 0.0}, "lang": {"en": 3, "de": 1.5}, "source": {"s1": 0.1}}
+DOMAIN = F.when(F.col("source") == "s1", "web").when(F.col("source") == "s9", "none").otherwise("books")
+
+
+def brute(rows, share, epochs):
+    leaves = {}
+    for i, text, lang, source in rows:
+        n = len([w for w in re.split("[ \t\n\r]+", text or "") if w])
+        domain = {"s1": "web", "s9": "none"}.get(source, "books")
+        leaves.setdefault((domain, lang or "", source or ""), []).append((i, n))
+
+    def weight(path):
+        return round(1000 * WEIGHTS[mixing.LEVELS[len(path) - 1]].get(path[-1], 1))
+
+    def capacity(path):
+        return epochs * sum(n for k, v in leaves.items() if k[:len(path)] == path for _, n in v)
+
+    def give(path, budget):
+        if len(path) == 3:
+            return {path: budget}
+        children = sorted({k[:len(path) + 1] for k in leaves if k[:len(path)] == path})
+        got, left = {c: 0 for c in children}, budget
+        todo = [c for c in children if weight(c)]
+        while todo:
+            unit = left / sum(map(weight, todo))
+            full = [c for c in todo if capacity(c) <= unit * weight(c)]
+            for c in full or todo:
+                got[c] = min(capacity(c), math.floor(unit * weight(c)))
+            if not full:
+                break
+            for c in full:
+                got[c] = capacity(c)
+            left -= sum(capacity(c) for c in full)
+            todo = [c for c in todo if c not in full]
+        out = {}
+        for c in children:
+            out |= give(c, got[c])
+        return out
+
+    total = sum(n for v in leaves.values() for _, n in v)
+    chosen = []
+    for leaf, budget in give((), math.floor(total * share)).items():
+        places = {}
+        for e in range(epochs):
+            for i, n in leaves[leaf]:
+                key = (e, hashlib.md5(f"{mixing.SEED}:{e}:{'' if i is None else i}".encode()).hexdigest())
+                places.setdefault(key, []).append((i, n))
+        used = 0
+        for (e, _), docs in sorted(places.items()):
+            used += sum(n for _, n in docs)
+            if used > budget or not budget:
+                break
+            chosen += [(str(i), e, *leaf) for i, _ in docs]
+    return sorted(chosen)
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 1, "d") for r in rows],
+                                 "doc_id long, text string, lang string, source string, epoch int, doc string")
+
+
+@pytest.mark.parametrize("share,epochs", [(0.3, 1), (0.8, 2), (1.7, 2), (5.0, 3), (0.0, 1)])
+def test_against_brute_force(spark, share, epochs):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(0, 30), rng.choice(["en", "en", "de", "fr", None]),
+             rng.choice(["s1"] * 6 + ["s2", "s3", "s9", None])) for i in range(400)]
+    rows += [(500, None, "en", "s2"), (500, "a b", "en", "s2"), (None, "x y", "de", "s3"),
+             (501, "long " * 30_000, "fr", "s2")]
+    got = mixing.mix(table(spark, rows), F.col("all_tokens") * share, WEIGHTS, DOMAIN, epochs)
+    assert sorted((str(r.doc.doc_id), r.epoch, r.domain, r.lang, r.source)
+                  for r in got.collect()) == brute(rows, share, epochs)
+
+
+def test_shortage_goes_to_siblings_first(spark):
+    """The short source's tokens go to the other source of its language, not to
+    the other domain."""
+    rows = [(i, "w", "en", "s2") for i in range(10)] + [(100 + i, "w", "en", "s3") for i in range(200)] \
+        + [(1000 + i, "w", "en", "s1") for i in range(200)]
+    got = mixing.mix(table(spark, rows), F.lit(200), {}, DOMAIN).groupBy("source").count().collect()
+    assert {r.source: r["count"] for r in got} == {"s2": 10, "s3": 90, "s1": 100}
+
+
+def test_empty_table_keeps_all_columns(spark):
+    got = mixing.mix(table(spark, []), F.lit(100))
+    assert got.count() == 0 and got.select("doc.*").columns == table(spark, []).columns

@@ -1,0 +1,90 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from palmyra.llm import toxicity
+
+PROSE = [a + b for a in ("ber", "tol", "mi", "ras", "en", "qua") for b in ("do", "lin", "a", "tes", "gor", "ume", "ix")]
+
+
+def corpus(n=1500, seed=2):
+    """English rows with fixed insults, other rows with an invented one in many
+    endings, and clean rows."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = rng.choices(PROSE, k=rng.randrange(20, 120))
+        toxic = rng.random() < 0.25
+        for _ in range(rng.randrange(2, 6) if toxic else 0):
+            words[rng.randrange(len(words))] = (rng.choice(["idiot", "scum", "you moron"]) if i % 2
+                                                else "zwurk" + rng.choice(PROSE))
+        rows.append((i, " ".join(words), "xx", 1.0))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+DOCS = "doc_id long, text string, lang string, score double"
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    from palmyra.llm.common import ship_package
+    ship_package(spark)
+    rows, labels = corpus()
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+    return docs, marks, dict(labels), toxicity.train(docs, marks)
+
+
+def test_held_out_accuracy(spark, trained):
+    docs, marks, truth, _ = trained
+    got = [r for r in toxicity.score(docs, marks).collect()]
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) >= 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_held_out_labels_are_not_learnt(spark, trained):
+    docs, marks, truth, model = trained
+    turned = marks.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 0, 1 - F.col("toxic"))
+                              .otherwise(F.col("toxic")))
+    again = toxicity.train(docs, turned)
+    assert again.lexicon == model.lexicon and again.trees.toDebugString == model.trees.toDebugString.replace(
+        model.trees.uid, again.trees.uid)
+
+
+def test_invented_insult_is_learnt_as_a_beginning(trained):
+    assert "zwurk" in trained[3].lexicon.stems
+
+
+def test_features_see_disguise_person_and_capitals():
+    marks = toxicity._Marks(toxicity.Lexicon())
+    names = dict(zip(toxicity.FEATURES, range(len(toxicity.FEATURES))))
+    f = toxicity.features("you are an id1ot and a STUPID m0ron!!", marks)
+    assert f[names["disguised_hits"]] == 2 and f[names["fixed_hits"]] == 1
+    assert f[names["capital_words"]] > 0 and f[names["exclaims"]] > 0
+    assert f[names["near_second_person"]] == 0          # five words apart at most
+    assert toxicity.features("you idiot", marks)[names["near_second_person"]] > 0
+    assert toxicity.features("", marks) == [0.0] * len(names)
+
+
+def test_edge_rows_and_clean_documents(spark, trained):
+    model = trained[3]
+    rows = [(1, None, None, 0.0), (1, "", None, 0.0), (None, "ber tol mi " * 30, None, 0.0),
+            (2, "idiot scum " * 5, None, 0.0), (3, "berdo " * 60_000, None, 0.0), (2, "idiot scum " * 5, None, 0.0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "3", "None"]
+
+
+def test_empty_and_one_sided_labels(spark):
+    docs = spark.createDataFrame([(1, "you idiot", None, 0.0), (2, "fine words", None, 0.0)], DOCS)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, none).collect()}
+    assert got == {1: 1, 2: 0}
+    one = spark.createDataFrame([(1, 1), (2, None), (9, 0)], "doc_id long, toxic int")
+    assert toxicity.score(docs, one).count() == 2
+    assert toxicity.score(spark.createDataFrame([], DOCS), none).count() == 0
