@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from palmyra.llm import mixing
 
 WEIGHTS = {"domain": {"web": 0.7, "none": 0.0}, "lang": {"en": 3, "de": 1.5}, "source": {"s1": 0.1}}
-DOMAIN = F.when(F.col("source") == "s1", "web").when(F.col("source") == "s9", "none").otherwise("books")
+
+
+def domain():
+    return F.when(F.col("source") == "s1", "web").when(F.col("source") == "s9", "none").otherwise("books")
 
 
 def brute(rows, share, epochs):
@@ -76,7 +79,7 @@ def test_against_brute_force(spark, share, epochs):
              rng.choice(["s1"] * 6 + ["s2", "s3", "s9", None])) for i in range(400)]
     rows += [(500, None, "en", "s2"), (500, "a b", "en", "s2"), (None, "x y", "de", "s3"),
              (501, "long " * 30_000, "fr", "s2")]
-    got = mixing.mix(table(spark, rows), F.col("all_tokens") * share, WEIGHTS, DOMAIN, epochs)
+    got = mixing.mix(table(spark, rows), F.col("all_tokens") * share, WEIGHTS, domain(), epochs)
     assert sorted((str(r.doc.doc_id), r.epoch, r.domain, r.lang, r.source)
                   for r in got.collect()) == brute(rows, share, epochs)
 
@@ -86,7 +89,7 @@ def test_shortage_goes_to_siblings_first(spark):
     the other domain."""
     rows = [(i, "w", "en", "s2") for i in range(10)] + [(100 + i, "w", "en", "s3") for i in range(200)] \
         + [(1000 + i, "w", "en", "s1") for i in range(200)]
-    got = mixing.mix(table(spark, rows), F.lit(200), {}, DOMAIN).groupBy("source").count().collect()
+    got = mixing.mix(table(spark, rows), F.lit(200), {}, domain()).groupBy("source").count().collect()
     assert {r.source: r["count"] for r in got} == {"s2": 10, "s3": 90, "s1": 100}
 
 
