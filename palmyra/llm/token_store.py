@@ -74,6 +74,8 @@ class Encoder:
     INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,\n])"
                        r"|(?<=[.,])(?=\n)|(?<=\n)(?=\S)")
 
+    LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -85,6 +87,13 @@ class Encoder:
                          and self.tokenizer.post_processor is None)
         self.pieces: dict[str, bytes] = {}
 
+        # Printable bytes stand for themselves in the model's alphabet, the others for
+        # the characters from U+0100 on, in order.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
+        self.model = self.tokenizer.model
+
     def raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                         dtype=self.dtype).tobytes()
@@ -94,13 +103,21 @@ class Encoder:
         found = self.pieces.get(piece)
         if found is None:
             parts = self.INNER.split(" " + piece)
-            if len(parts) == 1:
-                found = self.raw(parts[0])
-            else:
+            if len(parts) > 1:
                 found = self._piece(parts[0][1:]) + b"".join(map(self.raw_cached, parts[1:]))
+            elif self.LETTERS.fullmatch(piece):
+                found = self._letters(parts[0])
+            else:
+                found = self.raw(parts[0])
             self._keep(piece, found)
         return found
 
+    def _letters(self, part: str) -> bytes:
+        """Ids of one pre-token: letters after at most one space. It goes straight
+        to the tokenizer's model, without the passes over a text around it."""
+        spelled = part.encode().decode("latin-1").translate(self.alphabet)
+        return np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
+
     def raw_cached(self, part: str) -> bytes:
         key = "\0" + part           # not the same key as a piece after a space
         found = self.pieces.get(key)
@@ -152,9 +169,12 @@ def _codec(dictionary: bytes) -> dict:
 
 
 def sample_ids(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> list[bytes]:
-    rows = (docs.select(F.xxhash64(F.col(id_col)).alias("h"),
-                        F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("t"))
-            .orderBy("h", "t").limit(SAMPLE_DOCS).collect())
+    # Only ids are ordered, so no task sends texts that are not in the sample.
+    key = F.col(id_col).cast("long")
+    chosen = [r.id for r in docs.select(key.alias("id")).where(key.isNotNull())
+              .orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).collect()]
+    rows = (docs.where(key.isin(chosen)).select(F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("t"))
+            .limit(SAMPLE_DOCS).collect()) if chosen else []
     enc = encoder(path)
     end = np.array([end_id], dtype=enc.dtype).tobytes()
     return [enc.encode(r.t) + end for r in rows]
