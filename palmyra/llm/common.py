@@ -170,6 +170,40 @@ def row_keys() -> Iterator[int]:
         key += 1
 
 
+BLOOM_PROBES = 3
+
+
+def bloom_probes(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Bit numbers of each 64-bit hash, one row a probe."""
+    step = (hashes >> U64(32)) | U64(1)
+    return np.stack([(hashes + U64(i) * step) % U64(bits) for i in range(BLOOM_PROBES)])
+
+
+def bloom_of(hashes: DataFrame, bits: int) -> bytes:
+    """Bloom filter of a frame with one column of 64-bit hashes. Each task sets its
+    bits, a distributed ``bit_or`` unites them, and at most bits / 64 words are
+    gathered, whatever the number of hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+            at = np.unique(bloom_probes(mix64(keys), bits))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> U64(6)).astype(np.int64)),
+                 pa.array((U64(1) << (at & U64(63))).view(np.int64))], names=["word", "bits"])
+
+    found = (hashes.distinct().mapInArrow(run, "word long, bits long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow())
+    words = np.zeros(bits // 64, dtype=np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return words.tobytes()
+
+
+def bloom_has(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be among those of the filter (64-bit words)."""
+    at = bloom_probes(mix64(hashes), 64 * len(filled))
+    return ((filled[at >> U64(6)] >> (at & U64(63))) & U64(1)).all(axis=0)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Label every node of ``edges`` (a, b) with the smallest node that it
     reaches: (node, label).

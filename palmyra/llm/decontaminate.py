@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palmyra.llm.common import Words, gram_hashes, iter_words, mix64, row_keys
+from palmyra.llm.common import (Words, bloom_has, bloom_of, gram_hashes, iter_words, mix64,
+                                row_keys)
 from palmyra.sources.writers import cut_lineage
 
 WINDOW = 10
@@ -39,7 +40,6 @@ GRAM = 5
 #: Bits of the filter, whatever the benchmark's size (1 MB; a full filter lets
 #: fingerprints through to the join, which stays exact).
 BLOOM_BITS = 1 << 23
-BLOOM_PROBES = 3
 SALT = 0x2545F4914F6CDD1D
 
 
@@ -89,12 +89,6 @@ def _around(w: Words, a: int, b: int, k: int, at: int, window: int) -> tuple[str
     return " ".join(left), " ".join(w.text(a + at, min(b, a + at + k + reach)))
 
 
-def _probes(hashes: np.ndarray) -> np.ndarray:
-    step = (hashes >> np.uint64(32)) | np.uint64(1)
-    return np.stack([(hashes + np.uint64(i) * step) % np.uint64(BLOOM_BITS)
-                     for i in range(BLOOM_PROBES)])
-
-
 FINGERPRINT = "h long, k int, left string, right string"
 
 
@@ -123,22 +117,6 @@ def item_fingerprints(items: DataFrame, id_col: str, text_col: str, window: int,
 _ITEM_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
 
 
-def bloom_bits(prints: DataFrame) -> bytes:
-    """Filter of all hashes: each task sets its bits, the set words are united by
-    a distributed ``bit_or`` and at most BLOOM_BITS / 64 of them are gathered."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            bits = np.unique(_probes(b["h"].to_numpy(dtype=np.int64).astype(np.uint64)))
-            yield pd.DataFrame({"word": (bits >> np.uint64(6)).astype(np.int64),
-                                "bits": (np.uint64(1) << (bits & np.uint64(63))).astype(np.int64)})
-
-    words = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
-    found = (prints.select("h").distinct().mapInPandas(run, "word long, bits long")
-             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas())
-    words[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
-    return words.tobytes()
-
-
 def scan_documents(docs: DataFrame, id_col: str, text_col: str, bloom: bytes, short: list[int],
                    window: int, gram: int) -> DataFrame:
     """(row, id, text_key, n_words, prints) of every document; prints are those
@@ -157,9 +135,7 @@ def scan_documents(docs: DataFrame, id_col: str, text_col: str, bloom: bytes, sh
                     n_words.append(int(b - a))
                     hits = []
                     for k, at, hashes in fingerprints(w, a, b, window, gram, short):
-                        bits = _probes(hashes)
-                        keep = ((filled[bits >> np.uint64(6)] >> (bits & np.uint64(63)))
-                                & np.uint64(1)).all(axis=0)
+                        keep = bloom_has(filled, hashes)
                         for p, h in zip(at[keep].tolist(), hashes[keep].astype(np.int64).tolist()):
                             left, right = _around(w, a, b, k, p, window)
                             hits.append({"h": h, "k": k, "at": p, "left": left, "right": right})
@@ -209,7 +185,7 @@ def hit_spans(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
     prints = cut_lineage(item_fingerprints(items, item_col, item_text, window, gram),
                          "winnow-items")
     short = sorted(-r.k for r in prints.where("k < 0").select("k").distinct().collect())
-    scanned = cut_lineage(scan_documents(docs, id_col, text_col, bloom_bits(prints), short,
+    scanned = cut_lineage(scan_documents(docs, id_col, text_col, bloom_of(prints.select("h"), BLOOM_BITS), short,
                                          window, gram), "winnow-docs")
     pairs = (scanned.select("row", F.explode("prints").alias("p")).select("row", "p.*")
              .join(prints.select("h", "k", "item", F.col("left").alias("item_left"),

@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palmyra.llm.common import connected_components, mix64, row_keys, shingle_sets
+from palmyra.llm.common import (bloom_has, bloom_of, connected_components, mix64, row_keys,
+                                shingle_sets)
 from palmyra.sources.writers import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -45,6 +46,8 @@ MAX_HASHES = 384
 #: A block holds about so many classes and shingles.
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 1_000_000
+#: Bits of the filter on member texts, whatever their number (8 MB).
+BLOOM_BITS = 1 << 26
 #: Sorts after every id; stands for a null one.
 NULL_ID = (1 << 63) - 1
 SEED = 20_240_229
@@ -119,6 +122,19 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
 
 
+def _maybe(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is among the wanted ones, and a few others: a filter of
+    fixed size drops the rest at the scan, so a join need not shuffle their texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(bloom_of(wanted, BLOOM_BITS))
+
+    @F.pandas_udf("boolean")
+    def hit(keys: pd.Series) -> pd.Series:
+        filled = np.frombuffer(shared.value, dtype=np.uint64)
+        return pd.Series(bloom_has(filled, keys.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    return rows.where(hit(F.col(column)))
+
+
 def _similar(sets: list[np.ndarray], left: int, threshold: float, column_step: int = 8192
              ) -> np.ndarray:
     """Which pairs reach the threshold: rows are the first ``left`` sets, columns
@@ -261,7 +277,8 @@ def clusters_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, r
         classes.join(groups.select(F.col("node").alias("row"), F.col("label").alias("grp")), "row")
         .select(F.col("row").alias("id"), "rep", "text_key", "grp", "copies", "n"),
         "ngram-members")
-    texts = (_keyed(docs, id_col, text_col).withColumnRenamed("id", "rep")
+    texts = (_maybe(_keyed(docs, id_col, text_col), "text_key", members.select("text_key"))
+             .withColumnRenamed("id", "rep")
              .join(members.select("rep", "text_key"), ["rep", "text_key"], "left_semi"))
     verified = cut_lineage(verify(members, texts, threshold, words), "ngram-links")
     links = verified.groupBy("id").agg(F.sum("links").alias("links"))
