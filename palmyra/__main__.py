@@ -52,20 +52,20 @@ def main(argv=None) -> None:
 
 
 def _show(spark, wh, job: str, as_of, n: int) -> None:
-    """Print a preview of what the job wrote (the source prints its frame)."""
-    from pyspark.sql import functions as F
-
+    """Print a preview of what the job wrote, by estate (the source prints its
+    frame)."""
     from palmyra.functions.periods import period_of
     y, m = period_of(as_of)
     if job == "p1":
         df = wh.read(spark, "rainfall_balance")
     elif job == "p2":
-        df = wh.read(spark, "rainfall_balance").where((F.col("Tahun") == y) & (F.col("Bulan") == m))
+        df = wh.read(spark, "rainfall_balance", Tahun=y, Bulan=m)
     elif job == "p3":
-        df = wh.read(spark, "bjr").where((F.col("Tahun") == y) & (F.col("Bulan") == m))
+        df = wh.read(spark, "bjr", Tahun=y, Bulan=m)
     else:
-        df = wh.read(spark, "wb_actual").where(F.year("FullDate") == y)
-    df.show(n, truncate=False)
+        df = wh.read(spark, "wb_actual", Year=y)
+    # Sorting for the first n rows keeps n rows a task, not the table.
+    df.orderBy("KodeKebun").show(n, truncate=False)
 
 
 if __name__ == "__main__":

@@ -24,7 +24,7 @@ from palmyra.operators.fill import forward_fill
 from palmyra.operators.proration import netto_totals
 from palmyra.operators.refresh import append, replace_all, replace_keys, replace_where
 from palmyra.plans import bjr as bjr_plan
-from palmyra.plans import rainfall, weighbridge
+from palmyra.plans import jobs, rainfall, weighbridge
 from palmyra.sources.tables import positional
 from palmyra.sources.writers import cut_lineage, export_csv, read_csv, scratch_path
 
@@ -287,7 +287,71 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rounded(positional(back, h.columns))
 
 
+# ---------------------------------------------------------------- jobs
+
+def _warehouse(spark, d, *tables):
+    wh = jobs.Warehouse(scratch_path(spark, "job-warehouse"))
+    for t in tables:
+        if t == "readings":
+            jobs.append_readings(standin(spark, d, t), wh, "load", 0)
+        else:
+            jobs.write_table(standin(spark, d, t), wh, t)
+    return wh
+
+
+def q_append_store(spark: SparkSession, d: str) -> DataFrame:
+    """Two sources append, one of them twice under one batch number (a retry)."""
+    wh = _warehouse(spark, d)
+    readings = standin(spark, d, "readings")
+    early = F.col("Tahun") < 1996
+    jobs.append_readings(readings.where(early).limit(10), wh, "load", 0)
+    jobs.append_readings(readings.where(early), wh, "load", 0)
+    jobs.append_readings(readings.where(~early), wh, "stream", 0)
+    return rounded(wh.read(spark, "readings"))
+
+
+def q_job_p1_store(spark: SparkSession, d: str) -> DataFrame:
+    wh = _warehouse(spark, d, *RAIN)
+    jobs.run_initial_balance(spark, wh, epoch=EPOCH, opening=OPENING, capacity=CAPACITY)
+    return rounded(wh.read(spark, "rainfall_balance"))
+
+
+def q_job_p2_store(spark: SparkSession, d: str) -> DataFrame:
+    """The stored month starts with other values, and one estate more."""
+    wh = _warehouse(spark, d, *RAIN)
+    y, m = AS_OF_UPDATE.year, AS_OF_UPDATE.month
+    history = cut_lineage(_initial(spark, d, "reference").where(_before(AS_OF_UPDATE)))
+    stale = (rainfall.update_balance(*_rain_inputs(spark, d), history, AS_OF_UPDATE, capacity=CAPACITY)
+             .where(in_period("Tahun", "Bulan", (y, m))).withColumn("WaterBalance", F.lit(-1.0)))
+    other = spark.createDataFrame([(y, m, "OTHER", "OTHER", 1, 2.0, 3.0, 120, 4.0, 5.0, 6.0)],
+                                  stale.schema)
+    jobs.write_table(history.unionByName(stale).unionByName(other), wh, "rainfall_balance")
+    jobs.run_monthly_balance(spark, wh, AS_OF_UPDATE, capacity=CAPACITY)
+    return rounded(wh.read(spark, "rainfall_balance", Tahun=y, Bulan=m))
+
+
+def q_job_p3_store(spark: SparkSession, d: str) -> DataFrame:
+    wh = _warehouse(spark, d, *BLOCK, "bjr")
+    jobs.run_bjr(spark, wh, AS_OF_BJR, exclude=BLOCK_EXCLUDE, code_len=BLOCK_CODE_LEN)
+    return rounded(wh.read(spark, "bjr"))
+
+
+def q_job_p4_store(spark: SparkSession, d: str) -> DataFrame:
+    """The stored year starts with other values; the other years stay."""
+    wh = _warehouse(spark, d, "weighbridge", "bjr")
+    stored = weighbridge.prorate_netto(*_wb_inputs(spark, d))
+    jobs.write_table(stored.withColumn("KG_PKS", F.when(F.year("FullDate") == AS_OF_WB.year, -1.0)
+                                       .otherwise(F.col("KG_PKS"))), wh, "wb_actual")
+    jobs.run_wb_actual(spark, wh, AS_OF_WB, exclude=WB_EXCLUDE)
+    return rounded(wh.read(spark, "wb_actual"))
+
+
 QUERIES = {
+    "append_store": q_append_store,
+    "job_p1_store": q_job_p1_store,
+    "job_p2_store": q_job_p2_store,
+    "job_p3_store": q_job_p3_store,
+    "job_p4_store": q_job_p4_store,
     "monthly_rainfall": q_monthly_rainfall,
     "full_join_stations": q_full_join_stations,
     "initial_balance_reference": q_initial_balance_reference,
@@ -326,7 +390,7 @@ MONTHLY_CTE = """
 monthly AS (
   SELECT a.Tahun, a.Bulan, a.Estate AS KodeKebun,
          count(DISTINCT day(a.Date)) AS RainyDays,
-         sum(coalesce(a.RainFallValue, 0)) / count(DISTINCT a.Lokasi) AS avg_rain,
+         sum(coalesce(a.RainFallValue, 0)) / nullif(count(DISTINCT a.Lokasi), 0) AS avg_rain,
          CASE WHEN count(day(a.Date)) <= 10 THEN 150 ELSE 120 END AS et
   FROM readings a
   FULL JOIN stations b ON b.StationEstate = a.Estate AND b.StationLokasi = a.Lokasi
@@ -395,8 +459,9 @@ seed AS (
 newm AS (SELECT * FROM mt WHERE Tahun = {y} AND Bulan = {m}),
 newc AS (
   SELECT n.Tahun, n.Bulan, n.KodeKebun, n.TipeKebun, n.RainyDays, n.avg_rain AS RainFallValueAVG,
-         coalesce(s.WaterReserveAfterEvapor, 0.0) AS WaterReserve, n.et AS WaterEvapotranspiration,
-         CAST((n.avg_rain + coalesce({prev}, 0.0)) - n.et AS DOUBLE) AS WaterBalance
+         CASE WHEN s.KodeKebun IS NULL THEN 0.0 ELSE s.WaterReserveAfterEvapor END AS WaterReserve,
+         n.et AS WaterEvapotranspiration,
+         CAST((n.avg_rain + CASE WHEN s.KodeKebun IS NULL THEN 0.0 ELSE {prev} END) - n.et AS DOUBLE) AS WaterBalance
   FROM newm n LEFT JOIN seed s ON s.KodeKebun = n.KodeKebun),
 frame AS (
   SELECT Tahun, Bulan, KodeKebun, TipeKebun, RainyDays, RainFallValueAVG, WaterReserve,
@@ -593,6 +658,10 @@ tbl AS (
   SELECT * FROM pp WHERE NOT coalesce(year(FullDate) = {AS_OF_WB.year}, false)
   UNION ALL
   SELECT * FROM ppy)""" + PRORATE_SELECT + " FROM tbl"),
+    "append_store": with_standins(RAIN[:1], f"""
+SELECT Tahun, Bulan, Estate, Lokasi, CAST(Date AS VARCHAR) AS Date,
+       {R("RainFallValue")} AS RainFallValue FROM readings"""),
+    "job_p1_store": _sql_initial("reference"),
     "guarded_division": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        {R(GD("l_quantity * l_discount", "l_tax"))} AS ratio,
@@ -633,3 +702,12 @@ FROM order_history GROUP BY Tahun, Bulan, KodeKebun, TipeKebun"""),
     "csv_roundtrip": _orders_sql(f"""
 SELECT {ORDER_COLS}, {R("o_totalprice")} AS o_totalprice FROM order_history"""),
 }
+_P2 = _sql_update(AS_OF_UPDATE, f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}")
+ORACLE |= {
+    "job_p2_store": f"""
+SELECT * FROM ({_P2}) WHERE Tahun = {AS_OF_UPDATE.year} AND Bulan = {AS_OF_UPDATE.month}
+UNION ALL
+SELECT {AS_OF_UPDATE.year}, {AS_OF_UPDATE.month}, 'OTHER', 'OTHER', 1, 2.0, 3.0, 120, 4.0, 5.0, 6.0""",
+    "job_p3_store": ORACLE["load_bjr"],
+    "job_p4_store": ORACLE["load_wb_actual"],
+}

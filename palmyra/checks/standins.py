@@ -6,10 +6,12 @@ from the driver tables with one SELECT. The same SQL text runs in Spark
 DuckDB for the oracle queries, so both sides start from identical input.
 
 Roles: gauge readings = line items (estate = supplier, location = line
-number, reading = quantity x 4, zero when there is no discount); stations =
+number, unknown for one estate in ten in February, reading = quantity x 4,
+zero when there is no discount); stations =
 suppliers (suppliers with a negative balance are listed twice, to exercise a
 duplicated station); unit types = supplier region. Block fact = line items
-with supplier, part type and brand as estate, division and block. Weighbridge
+with supplier, part type and brand as estate, division and block (unknown for
+some). Weighbridge
 = line items of orders (estate = priority, division = status); its BJR table
 is aggregated from the same rows.
 """
@@ -23,7 +25,8 @@ STANDINS: dict[str, tuple[tuple[str, ...], str]] = {
 SELECT CAST(year(l_shipdate) AS INT) AS Tahun,
        CAST(month(l_shipdate) AS INT) AS Bulan,
        CAST(l_suppkey AS STRING) AS Estate,
-       CAST(l_linenumber AS STRING) AS Lokasi,
+       CASE WHEN l_suppkey % 10 = 3 AND month(l_shipdate) = 2 THEN NULL
+            ELSE CAST(l_linenumber AS STRING) END AS Lokasi,
        CAST(l_shipdate AS DATE) AS Date,
        CASE WHEN l_discount = 0 THEN 0.0 ELSE l_quantity * 4 END AS RainFallValue
 FROM {lineitem}"""),
@@ -53,7 +56,8 @@ SELECT CAST(year(l_shipdate) AS INT) AS Year,
 FROM {lineitem}"""),
     "unit": (("supplier",), "SELECT s_suppkey AS UnitID, s_name AS UnitCode FROM {supplier}"),
     "division": (("part",), "SELECT p_partkey AS DivisionID, p_type AS DivisionCode FROM {part}"),
-    "block": (("part",), "SELECT p_partkey AS BlokID, p_brand AS KodeBlok FROM {part}"),
+    "block": (("part",), "SELECT p_partkey AS BlokID, CASE WHEN p_partkey % 9 <> 4 "
+              "THEN p_brand END AS KodeBlok FROM {part}"),
     "weighbridge": (("lineitem", "orders"), """
 SELECT CAST(o.o_orderdate AS DATE) AS FullDate,
        o.o_orderpriority AS KodeKebun,
@@ -74,7 +78,8 @@ SELECT CAST(year(o.o_orderdate) AS INT) AS Tahun,
        CAST(month(o.o_orderdate) AS INT) AS Bulan,
        o.o_orderpriority AS KodeKebun,
        o.o_orderstatus AS KodeDivisi,
-       concat('B', CAST(l.l_partkey % 1100 AS STRING)) AS KodeBlok,
+       CASE WHEN l.l_partkey % 11 <> 4
+            THEN concat('B', CAST(l.l_partkey % 1100 AS STRING)) END AS KodeBlok,
        CAST(min(year(o.o_orderdate) - l.l_partkey % 20) AS BIGINT) AS TahunTanam,
        min(l.l_returnflag) AS JenisKegiatan,
        sum(l.l_quantity) AS LuasTanam,
@@ -82,7 +87,9 @@ SELECT CAST(year(o.o_orderdate) AS INT) AS Tahun,
        max(l.l_discount) * 100 AS BJRPabrik
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 GROUP BY CAST(year(o.o_orderdate) AS INT), CAST(month(o.o_orderdate) AS INT),
-         o.o_orderpriority, o.o_orderstatus, concat('B', CAST(l.l_partkey % 1100 AS STRING))"""),
+         o.o_orderpriority, o.o_orderstatus,
+         CASE WHEN l.l_partkey % 11 <> 4
+              THEN concat('B', CAST(l.l_partkey % 1100 AS STRING)) END"""),
     "order_history": (("orders",), """
 SELECT CAST(year(o_orderdate) AS INT) AS Tahun,
        CAST(month(o_orderdate) AS INT) AS Bulan,

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,18 +84,10 @@ def capped_balance(
         grouped = df.groupBy(*keys).agg(sorted_rows)
         states = _fold_states("_rows", F.lit(0.0), F.lit(0.0), mode, capacity, state_cols)
     else:
-        if opening:
-            # The opening row counts only as the first row of its key.
-            first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-            df = _join_null_safe(df, first, keys, "left").withColumn(
-                "_fixed_any", F.coalesce(F.col(fixed), F.lit(False)) if fixed else F.lit(False))
-            df = df.withColumn("_fixed_any", F.col("_fixed_any") | F.coalesce(
-                F.col(opening) & (F.struct(*order) == F.col("_first")), F.lit(False)))
-            row = row.withField("_fixed", F.col("_fixed_any")).withField("_opening", F.lit(False))
-            sorted_rows = F.sort_array(F.collect_list(row)).alias("_rows")
         grouped = df.groupBy(*keys, chunk).agg(sorted_rows)
-        incoming = _chunk_openings(grouped, keys, chunk, mode, capacity)
-        grouped = _join_null_safe(grouped, incoming, keys + [chunk], "inner").drop(chunk)
+        openings = _chunk_openings(grouped, keys, chunk, mode, capacity)
+        grouped = (_join_null_safe(grouped, openings, keys + [chunk])
+                   .withColumn("_rows", _opened("_rows", F.col("_is_first"))))
         states = _fold_states("_rows", F.col("_r_in"), F.col("_c_in"), mode, capacity, state_cols)
     folded = (
         grouped.select(*keys, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
@@ -105,17 +97,6 @@ def capped_balance(
     return folded.withColumn(deficit_col, deficit(balance_col))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
-    """Equi-join on ``on`` where NULL matches NULL; keeps the left key columns."""
-    lt, rt = left.alias("_l"), right.alias("_r")
-    cond = None
-    for k in on:
-        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
-        cond = c if cond is None else cond & c
-    rest = [c for c in right.columns if c not in on]
-    return lt.join(rt, cond, how).select("_l.*", *[F.col(f"_r.{c}") for c in rest])
-
-
 def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> Column:
     """Sequential fold over sorted rows from state (r0, c0). It carries only
     three doubles per row; the payload is zipped back by the caller."""
@@ -152,23 +133,35 @@ def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> C
 _INF = float("inf")
 
 
-def _map(a, lo, hi) -> Column:
+def _nullable(v: float) -> Column:
+    """A literal whose type allows NULL. The start value fixes the type of a
+    fold's state, and Spark would drop the NULL tests on a state without NULLs."""
+    return F.try_divide(F.lit(v), F.lit(1.0))
+
+
+def _map(a, lo, hi, const=None) -> Column:
+    """A clamp-add map, or with ``const`` the map to ``lo`` whatever the state
+    (also an unknown one) was."""
     return F.struct(a.cast("double").alias("a"), lo.cast("double").alias("lo"),
-                    hi.cast("double").alias("hi"))
+                    hi.cast("double").alias("hi"),
+                    (F.lit(False) if const is None else const).alias("const"))
 
 
 def _between(x, lo, hi) -> Column:
-    return F.least(F.greatest(x, lo), hi)
+    """min(max(x, lo), hi), NULL if any of them is (least and greatest skip NULL)."""
+    unknown = x.isNull() | lo.isNull() | hi.isNull()
+    return F.when(~unknown, F.least(F.greatest(x, lo), hi))
 
 
 def _after(m2, m1) -> Column:
     a2 = m2["a"]
-    return _map(m1["a"] + a2, _between(m1["lo"] + a2, m2["lo"], m2["hi"]),
-                _between(m1["hi"] + a2, m2["lo"], m2["hi"]))
+    both = _map(m1["a"] + a2, _between(m1["lo"] + a2, m2["lo"], m2["hi"]),
+                _between(m1["hi"] + a2, m2["lo"], m2["hi"]), m1["const"])
+    return F.when(m2["const"], m2).otherwise(both)
 
 
 def _apply(m, x) -> Column:
-    return _between(x + m["a"], m["lo"], m["hi"])
+    return F.when(m["const"], m["lo"]).otherwise(_between(x + m["a"], m["lo"], m["hi"]))
 
 
 def _part(from_c, m) -> Column:
@@ -176,12 +169,16 @@ def _part(from_c, m) -> Column:
 
 
 def _row_transform(x, mode: str, capacity: float) -> Column:
-    ident = _map(F.lit(0.0), F.lit(-_INF), F.lit(_INF))
-    step = _map(x["_in"] - x["_out"], F.lit(0.0), F.lit(capacity))
+    ident = _map(_nullable(0.0), _nullable(-_INF), _nullable(_INF))
+    # A NULL flow leaves an unknown close, whatever the state was.
+    flow = x["_in"] - x["_out"]
+    known = flow.isNotNull()
+    step = _map(F.coalesce(flow, F.lit(0.0)), F.when(known, F.lit(0.0)),
+                F.when(known, F.lit(float(capacity))), ~known)
     moving = F.struct(_part(F.lit(True), ident).alias("R"),
                       _part(F.lit(mode != "reference"), step).alias("C"))
-    fixed = F.struct(_part(F.lit(False), _map(F.lit(0.0), x["_r0"], x["_r0"])).alias("R"),
-                     _part(F.lit(False), _map(F.lit(0.0), x["_c0"], x["_c0"])).alias("C"))
+    const = lambda v: _part(F.lit(False), _map(F.lit(0.0), v, v, F.lit(True)))
+    fixed = F.struct(const(x["_r0"]).alias("R"), const(x["_c0"]).alias("C"))
     return F.when(x["_fixed"], fixed).otherwise(moving)
 
 
@@ -193,27 +190,51 @@ def _then(t1, t2) -> Column:
     return F.struct(comp(t2["R"]).alias("R"), comp(t2["C"]).alias("C"))
 
 
+def _opened(rows: str, first: Column) -> Column:
+    """The rows with their opening flag settled: only the first row of a key's
+    first chunk counts as one, and it is then kept like a fixed row."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return F.transform(rows, lambda x, i: x.withField(
+        "_fixed", yes(x["_fixed"]) | (first & (i == 0) & yes(x["_opening"])))
+        .withField("_opening", F.lit(False)))
+
+
 def _chunk_openings(grouped: DataFrame, keys, chunk: str, mode: str,
                     capacity: float) -> DataFrame:
-    ident = _map(F.lit(0.0), F.lit(-_INF), F.lit(_INF))
+    """(keys, chunk, _r_in, _c_in, _is_first): the state each chunk starts from.
+
+    Only transforms leave the chunks: one for the chunk as the first of its key, one
+    for it as a later one. Those of a key (a small struct a chunk, e.g. a year) are
+    gathered in order up to the chunk before and folded from (0, 0)."""
+    ident = _map(_nullable(0.0), _nullable(-_INF), _nullable(_INF))
     identity = F.struct(_part(F.lit(False), ident).alias("R"),
                         _part(F.lit(True), ident).alias("C"))
-    transforms = grouped.select(*keys, chunk, F.aggregate(
-        "_rows", identity, lambda acc, x: _then(acc, _row_transform(x, mode, capacity))
-    ).alias("_t"))
-    per_key = transforms.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(chunk, "_t"))).alias("_ts"))
-    out_type = "array<struct<{}:{},_r_in:double,_c_in:double>>".format(
-        chunk, dict(grouped.dtypes)[chunk])
 
-    def step(acc, x):
-        t = x["_t"]
+    def transform(first: bool) -> Column:
+        return F.aggregate(_opened("_rows", F.lit(first)), identity,
+                           lambda acc, x: _then(acc, _row_transform(x, mode, capacity)))
+
+    def step(acc, t):
         r = _apply(t["R"]["m"], F.when(t["R"]["from_c"], acc["c"]).otherwise(acc["r"]))
         c = _apply(t["C"]["m"], F.when(t["C"]["from_c"], acc["c"]).otherwise(acc["r"]))
-        entry = F.struct(x[chunk].alias(chunk), acc["r"].alias("_r_in"), acc["c"].alias("_c_in"))
-        return F.struct(r.alias("r"), c.alias("c"),
-                        F.array_append(acc["out"], entry).alias("out"))
+        return F.struct(r.alias("r"), c.alias("c"))
+
+    in_order = Window.partitionBy(*keys).orderBy(chunk)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.struct(_nullable(0.0).alias("r"), _nullable(0.0).alias("c"))
+    return (grouped.select(*keys, chunk, transform(True).alias("_t1"), transform(False).alias("_t2"))
+            .withColumn("_is_first", F.row_number().over(in_order) == 1)
+            .withColumn("_t", F.when(F.col("_is_first"), F.col("_t1")).otherwise(F.col("_t2")))
+            .withColumn("_state", F.aggregate(F.collect_list("_t").over(earlier), start, step))
+            .select(*keys, chunk, "_is_first", F.col("_state.r").alias("_r_in"),
+                    F.col("_state.c").alias("_c_in")))
+
 
-    init = F.struct(F.lit(0.0).alias("r"), F.lit(0.0).alias("c"),
-                    F.array().cast(out_type).alias("out"))
-    return per_key.select(*keys, F.inline(F.aggregate("_ts", init, step, lambda a: a["out"])))
+def _join_null_safe(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """Equi-join on ``on`` where NULL matches NULL; keeps the left key columns."""
+    lt, rt = left.alias("_l"), right.alias("_r")
+    cond = F.lit(True)
+    for k in on:
+        cond = cond & F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+    rest = [c for c in right.columns if c not in on]
+    return lt.join(rt, cond).select("_l.*", *[F.col(f"_r.{c}") for c in rest])

@@ -15,7 +15,6 @@ from palmyra.functions.periods import in_period, last_december, period_index, pe
 from palmyra.functions.scalar import (CAPACITY, EPOCH, OPENING_RESERVE, clamp,
                                       evapotranspiration)
 from palmyra.operators.balance import capped_balance
-from palmyra.operators.broadcast import broadcast_if_small
 
 BALANCE_COLUMNS = [
     "Tahun", "Bulan", "KodeKebun", "TipeKebun", "RainyDays", "RainFallValueAVG",
@@ -48,7 +47,7 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
     r = readings.where(F.col("RainFallValue") > 0)
     if period is not None:
         r = r.where(in_period("Tahun", "Bulan", period))
-    mult = broadcast_if_small(station_multiplicity(stations))
+    mult = station_multiplicity(stations)
     r = r.join(mult, (r["Estate"] == mult["StationEstate"]) & (r["Lokasi"] == mult["StationLokasi"]),
                "left")
     w = F.coalesce(F.col("_mult"), F.lit(1))
@@ -67,8 +66,7 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
         F.try_divide(F.sum("_sum"), F.count("Lokasi")).alias("RainFallValueAVG"),
         F.sum("_n").alias("_n_readings"),
     ).withColumn("WaterEvapotranspiration", evapotranspiration("_n_readings"))
-    units = broadcast_if_small(unit_types)
-    return (monthly.join(units, monthly["KodeKebun"] == units["Unit"])
+    return (monthly.join(unit_types, monthly["KodeKebun"] == unit_types["Unit"])
             .select("Tahun", "Bulan", "KodeKebun", F.col("UnitType").alias("TipeKebun"),
                     "RainyDays", "RainFallValueAVG", "WaterEvapotranspiration"))
 
@@ -109,12 +107,11 @@ def readings_with_stations(readings: DataFrame, stations: DataFrame) -> DataFram
 
     A full outer join cannot be broadcast, so written directly it would
     shuffle every reading. Here it is the readings left-joined to the
-    (size-checked, broadcast) stations, plus the stations that match no
-    reading, found against the distinct reading keys (partially aggregated
-    before their shuffle). Same rows, no shuffle of the readings."""
-    st = broadcast_if_small(stations)
-    matched = readings.join(st, (readings["Estate"] == st["StationEstate"])
-                            & (readings["Lokasi"] == st["StationLokasi"]), "left")
+    stations (broadcast while the station table is below Spark's byte
+    threshold), plus the stations that match no reading, found against the
+    distinct reading keys (partially aggregated before their shuffle)."""
+    matched = readings.join(stations, (readings["Estate"] == stations["StationEstate"])
+                            & (readings["Lokasi"] == stations["StationLokasi"]), "left")
     keys = readings.select("Estate", "Lokasi").distinct()
     lonely = stations.join(keys, (stations["StationEstate"] == keys["Estate"])
                            & (stations["StationLokasi"] == keys["Lokasi"]), "left_anti")

@@ -8,7 +8,6 @@ from palmyra.sources.tables import (  # noqa: F401
     positional,
 )
 from palmyra.sources.writers import (  # noqa: F401
-    current_version,
     cut_lineage,
     export_csv,
     publish,
@@ -16,4 +15,5 @@ from palmyra.sources.writers import (  # noqa: F401
     read_current,
     scratch_path,
     shared_dir,
+    vacuum,
 )

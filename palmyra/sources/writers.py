@@ -1,12 +1,14 @@
 """Writing tables.
 
-A table refresh in the source is "delete + insert, then commit". Overwriting
-the path a job is reading from is not safe in Spark, so a table here is a
-directory of immutable versions ``<base>/v=<n>`` plus an append-only commit log
-``<base>/_commits`` (one row per published version). ``publish`` writes the
-new version first and appends the log row last; readers take the highest
-logged version, so a failed or half-written version is never read. One writer
-per table at a time (the jobs are run by one scheduler).
+A table refresh in the source is "delete + insert, then commit". Here a table
+is a directory ``<base>`` of immutable versions ``d=<id>/<period>=.../`` and a
+commit log ``<base>/_commits``. ``publish`` writes the new rows into a fresh
+version and appends to the log last, in one file: one row per period, naming
+the version that holds the period from now on (or none, when the period is now
+empty). Readers open only the directories that the log names, so a write that
+fails leaves the table as it was, and running it again is safe. One writer per
+table at a time (the jobs are run by one scheduler). ``vacuum`` removes
+versions that no period uses any more.
 
 Scratch output (checkpoints, exports in tests) goes under the shared folder
 the cluster names in ``spark.checkpoint.dir``, never a machine-local one.
@@ -15,10 +17,9 @@ the cluster names in ``spark.checkpoint.dir``, never a machine-local one.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -49,43 +50,111 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _commits(base: str) -> str:
-    return f"{base.rstrip('/')}/_commits"
-
+LOG = T.StructType([
+    T.StructField("seq", T.LongType()),        # one commit a number, ascending
+    T.StructField("whole", T.BooleanType()),   # replaces every period logged before
+    T.StructField("slot", T.StringType()),     # "Tahun=1998/Bulan=6", "" without periods
+    T.StructField("version", T.StringType()),  # null: the slot is empty now
+])
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    try:
-        log = spark.read.parquet(_commits(base))
-    except AnalysisException:
-        return None
-    return log.agg(F.max("version")).first()[0]
 
-
-def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version}"
+def _log_path(base: str) -> str:
+    return f"{base.rstrip('/')}/_commits"
 
 
-def publish(df: DataFrame, base: str) -> int:
-    """Write ``df`` as the next version of the table at ``base``; return it."""
+def is_versioned(spark: SparkSession, base: str) -> bool:
+    return _fs(spark, base)[0].exists(_fs(spark, _log_path(base))[1])
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path: a table may lie in any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def live_slots(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
+    """(last commit, {slot: version}): what readers open. The log has one row per
+    commit and period, so its size follows the calendar, not the data."""
+    if not is_versioned(spark, base):
+        return 0, {}
+    live: dict[str, str] = {}
+    rows = spark.read.schema(LOG).parquet(_log_path(base)).orderBy("seq").toLocalIterator()
+    seq, cleared = 0, 0
+    for r in rows:
+        if r.whole and r.seq > cleared:
+            live, cleared = {}, r.seq
+        seq = r.seq
+        if r.version is None:
+            live.pop(r.slot, None)
+        else:
+            live[r.slot] = r.version
+    return seq, live
+
+
+def publish(df: DataFrame, base: str, partitions: Sequence[str] = (), *,
+            replaces: Sequence[str] | None = None, one_file: bool = False) -> int:
+    """Write ``df`` as a new version and let readers see it; return the commit.
+
+    ``replaces`` names the slots whose content this is, so one of them that gets no
+    row becomes empty; None replaces the whole table; [] adds or replaces just
+    the slots that ``df`` has rows of. ``one_file`` gathers each period of a small
+    derived table into one task.
+    """
     spark = df.sparkSession
-    version = (current_version(spark, base) or 0) + 1
-    # A directory for this version can only be left by a failed attempt (it
-    # was never logged, so never read): overwrite it.
-    df.write.mode("overwrite").parquet(version_path(base, version))
-    (spark.range(1)
-     .select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
-     .write.mode("append").parquet(_commits(base)))
-    return version
-
-
-def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
-    version = current_version(spark, base)
-    if version is None:
-        if schema is None:
-            raise FileNotFoundError(f"no published version under {base}")
+    version = uuid.uuid4().hex
+    path = f"{base.rstrip('/')}/d={version}"
+    if partitions:
+        out = df.repartition(*partitions) if one_file else df
+        out.write.partitionBy(*partitions).parquet(path)
+        slots = _written_slots(spark, path, len(partitions))
+    else:
+        df.write.parquet(path)
+        slots = [""]
+    seq, _ = live_slots(spark, base)
+    emptied = [s for s in replaces or [] if s not in slots]
+    rows = [(seq + 1, replaces is None, s, version) for s in slots]
+    rows += [(seq + 1, False, s, None) for s in emptied]
+    if replaces is None and not rows:
+        rows = [(seq + 1, True, "", None)]
+    if rows:
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(_log_path(base))
+    return seq + 1
+
+
+def _written_slots(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Period directories of a version, from the listing (no data is read)."""
+    fs, root = _fs(spark, path)
+    found = [("", root)]
+    for _ in range(depth):
+        found = [(f"{slot}/{s.getPath().getName()}".lstrip("/"), s.getPath())
+                 for slot, at in found for s in fs.listStatus(at) if s.isDirectory()]
+    return [slot for slot, _ in found]
+
+
+def read_current(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The table's live rows; ``schema`` has the partition columns too. Period
+    filters on the result prune directories."""
+    _, live = live_slots(spark, base)
+    if not live:
         return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(version_path(base, version))
+    base = base.rstrip("/")
+    whole = T.StructType([*schema.fields, T.StructField("d", T.StringType())])
+    paths = [f"{base}/d={v}/{slot}".rstrip("/") for slot, v in live.items()]
+    return spark.read.option("basePath", base).schema(whole).parquet(*paths).drop("d")
+
+
+def vacuum(spark: SparkSession, base: str) -> list[str]:
+    """Remove the versions that no live slot names; return them. To be run when no
+    reader still works on an older state and no writer is about."""
+    if not is_versioned(spark, base):
+        return []
+    used = {f"d={v}" for v in live_slots(spark, base)[1].values()}
+    fs, root = _fs(spark, base)
+    old = [s.getPath() for s in fs.listStatus(root)
+           if s.getPath().getName().startswith("d=") and s.getPath().getName() not in used]
+    for p in old:
+        fs.delete(p, True)
+    return [p.getName() for p in old]
 
 
 def export_csv(df: DataFrame, path: str) -> None:

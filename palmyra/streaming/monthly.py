@@ -1,42 +1,65 @@
 """Monthly balance kept current as reading files arrive (Structured Streaming).
 
 New gauge-reading files land in a directory. Each micro-batch is appended to
-the readings table and the months it touches are then recomputed with the
-monthly job (P2), oldest month first so each month seeds the next. A
-retried batch replaces its own files (see ``jobs.append_readings``).
+the readings table under the stream's own id and the batch's number, so a
+retried batch takes the place of its first try. The months from the oldest one
+that the batch touches to the newest stored one are then recomputed with the
+monthly job (P2), in order: each month's balance carries into the next, so a
+late reading changes all of them.
+
+The checkpoint is required. It holds the stream's id and its place in the
+landing folder; a stream without it would read every file again under a new
+name. A new checkpoint is a new stream and takes all files of the folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from palmyra.functions.periods import period_index
 from palmyra.plans.jobs import Warehouse, append_readings, run_monthly_balance
 from palmyra.sources.tables import SCHEMAS
-from palmyra.sources.writers import scratch_path
 
 
-def _ingest(wh: Warehouse, mode: str):
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Spark writes the id once, when a stream first starts on a checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
+
+
+def recompute_from(spark: SparkSession, wh: Warehouse, year: int, month: int, **options) -> None:
+    """P2 for every month from this one to the newest stored one."""
+    newest = max(year * 12 + month - 1, *(
+        wh.periods(spark, t, "Tahun", "Bulan").select(
+            F.coalesce(F.max(period_index("Tahun", "Bulan")), F.lit(0))).first()[0]
+        for t in ("rainfall_balance", "readings")))
+    for p in range(year * 12 + month - 1, newest + 1):
+        run_monthly_balance(spark, wh, dt.date(p // 12, p % 12 + 1, 1), **options)
+
+
+def _ingest(wh: Warehouse, checkpoint: str, mode: str):
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        append_readings(batch, wh, batch_id)
-        # The touched periods: one row per month in the batch, a handful.
-        periods = (batch.select("Tahun", "Bulan").distinct()
-                   .orderBy("Tahun", "Bulan").collect())
-        for p in periods:
-            run_monthly_balance(spark, wh, dt.date(p.Tahun, p.Bulan, 1), mode=mode)
+        append_readings(batch, wh, _stream_id(spark, checkpoint), batch_id)
+        oldest = batch.select(F.min(period_index("Tahun", "Bulan"))).first()[0]
+        if oldest is not None:
+            recompute_from(spark, wh, oldest // 12, oldest % 12 + 1, mode=mode)
     return on_batch
 
 
 def start_monthly_updates(spark: SparkSession, wh: Warehouse, landing: str, *,
-                          checkpoint: str | None = None, mode: str = "reference",
+                          checkpoint: str, mode: str = "reference",
                           available_now: bool = False,
                           interval: str = "1 hour") -> StreamingQuery:
+    if not checkpoint:
+        raise ValueError("the stream needs a checkpoint folder of its own")
     stream = spark.readStream.schema(SCHEMAS["readings"]).parquet(landing)
-    writer = (stream.writeStream.foreachBatch(_ingest(wh, mode))
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "monthly-stream")))
+    writer = (stream.writeStream.foreachBatch(_ingest(wh, checkpoint.rstrip("/"), mode))
+              .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=interval))
     return writer.start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from palmyra.operators.refresh import replace_keys, replace_where
 from palmyra.plans import rainfall
-from palmyra.sources.writers import current_version, publish, read_current, scratch_path
+from palmyra.sources.writers import live_slots, publish, read_current, scratch_path, vacuum
 
 T_SCHEMA = "Tahun int, Bulan int, KodeKebun string, v double"
 
@@ -79,14 +79,32 @@ def test_duplicated_station_counts_readings_twice(spark):
 
 def test_publish_versions(spark):
     base = scratch_path(spark, "publish-test")
-    assert current_version(spark, base) is None
     t = spark.createDataFrame([(2024, 1, "A", 1.0)], T_SCHEMA)
-    assert publish(t, base) == 1
-    nxt = replace_where(read_current(spark, base), spark.createDataFrame([], T_SCHEMA),
-                        F.col("Tahun") == 2024)
-    assert publish(nxt, base) == 2
-    assert read_current(spark, base).count() == 0
-    assert spark.read.parquet(f"{base}/v=1").count() == 1
+    read = lambda: read_current(spark, base, t.schema)
+    assert live_slots(spark, base) == (0, {}) and read().count() == 0
+    assert publish(t, base) == 1 and read().count() == 1
+    nxt = replace_where(read(), spark.createDataFrame([], T_SCHEMA), F.col("Tahun") == 2024)
+    assert publish(nxt, base) == 2 and read().count() == 0
+    assert len(vacuum(spark, base)) == 1 and read().count() == 0
+
+
+def test_publish_by_period(spark):
+    base = scratch_path(spark, "periods-test")
+    parts = ["Tahun", "Bulan"]
+    t = spark.createDataFrame([(2024, 1, "A", 1.0), (2024, 2, "B", 2.0), (2023, 1, "C", 3.0)], T_SCHEMA)
+    read = lambda: sorted(tuple(r) for r in read_current(spark, base, t.schema)
+                          .select(*t.columns).collect())
+    publish(t, base, parts)
+    # One month gets other rows, one gets none, the third stays.
+    publish(t.where("Bulan = 1 AND Tahun = 2024").unionByName(t.limit(0)), base, parts,
+            replaces=["Tahun=2024/Bulan=1", "Tahun=2024/Bulan=2"])
+    assert read() == [(2023, 1, "C", 3.0), (2024, 1, "A", 1.0)]
+    # A version that was written and never logged is not read, and goes.
+    t.write.partitionBy(*parts).parquet(f"{base}/d=stray")
+    assert read() == [(2023, 1, "C", 3.0), (2024, 1, "A", 1.0)]
+    assert vacuum(spark, base) == ["d=stray"]
+    publish(t.limit(0), base, parts)
+    assert read() == []
 
 
 def test_empty_inputs_give_empty_outputs(spark):
