@@ -41,6 +41,13 @@ def sketches(texts: pa.Array, k: int = SKETCH_SIZE, words: int = SHINGLE_WORDS)
             yield np.array([xxhash.xxh3_64_intdigest(raw, seed=1)], dtype=np.uint64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A task holds the texts, sketches and results of so many rows at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def encode(sketch: np.ndarray) -> str:
     return base64.b64encode(sketch.astype("<u8").tobytes()).decode()
 
@@ -80,7 +87,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = list(sketches(batch.column(1), k, words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(encode, found), pa.string()),
@@ -186,7 +193,7 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None     # (range, tail, id, text, sketch): waits for the row after it
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column("text")
             found = list(sketches(texts, k))
             out, pending = [], []
