@@ -13,6 +13,7 @@ import datetime as dt
 from palmyra.functions.scalar import EPOCH
 from palmyra.plans import jobs
 from palmyra.session import get_session
+from palmyra.sources.writers import clear_stages
 
 
 def main(argv=None) -> None:
@@ -49,6 +50,7 @@ def main(argv=None) -> None:
         jobs.run_wb_actual(spark, wh, a.as_of, **clean)
     if a.show:
         _show(spark, wh, a.job, a.as_of, a.show)
+    clear_stages(spark)
 
 
 def _show(spark, wh, job: str, as_of, n: int) -> None:

@@ -8,6 +8,7 @@ from palmyra.sources.tables import (  # noqa: F401
     positional,
 )
 from palmyra.sources.writers import (  # noqa: F401
+    clear_stages,
     cut_lineage,
     export_csv,
     publish,

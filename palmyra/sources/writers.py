@@ -43,13 +43,26 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared checkpoint folder
     and continue from that table: one pass, columnar, and a lost executor
     only recomputes from the written table, never the lineage before it.
-    (``DataFrame.checkpoint`` would compute the plan twice.)"""
+    (``DataFrame.checkpoint`` would compute the plan twice.) Such tables stay until
+    the application calls ``clear_stages``."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/palmyra/stages/{spark.sparkContext.applicationId}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; to be called when no
+    frame is used any more that came from ``cut_lineage``."""
+    fs, path = _fs(spark, _stages(spark))
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 LOG = T.StructType([
     T.StructField("seq", T.LongType()),        # one commit a number, ascending
     T.StructField("whole", T.BooleanType()),   # replaces every period logged before

@@ -138,3 +138,12 @@ def test_full_join_without_shuffling_readings(spark):
     def rows(df):
         return sorted((tuple((v is None, str(v)) for v in r) for r in df.collect()))
     assert rows(got) == rows(want) and len(rows(got)) == 6
+
+
+def test_stages_are_cleared(spark):
+    from palmyra.sources.writers import _fs, _stages, clear_stages, cut_lineage
+    assert cut_lineage(spark.range(3), "short").count() == 3
+    clear_stages(spark)
+    fs, path = _fs(spark, _stages(spark))
+    assert not fs.exists(path)
+    assert cut_lineage(spark.range(2), "again").count() == 2
