@@ -29,6 +29,8 @@ from palmyra.llm.common import shingle_sets
 SHINGLE_WORDS = 5
 SKETCH_SIZE = 128
 SPACE = float(1 << 64)
+#: Ranges of the table in id order, whatever its size; a larger table has larger ones.
+MOST_RANGES = 20_000
 
 
 def sketches(texts: pa.Array, k: int = SKETCH_SIZE, words: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
@@ -133,23 +135,22 @@ def merge_fingerprints(parts: DataFrame, key: str, k: int = SKETCH_SIZE) -> Data
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              rows_per_range: int = 4096) -> DataFrame:
+              rows_per_range: int = 4096, most_ranges: int = MOST_RANGES) -> DataFrame:
     """Rows in ranges of ascending id: (range, tail, id, text), where ``tail`` is 1
     for a copy of the row that follows the range (the first row of the next
     one; after the last range the very first row).
 
     Range limits are quantiles of the ids, one for about ``rows_per_range``
-    rows, so the only thing gathered is a number for each range. Rows of one id
-    lie in one range.
+    rows and at most ``most_ranges``, so what is gathered and sent to the tasks is
+    a row a range. Rows of one id lie in one range.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = rows.select("id").count()
-    parts = max(1, n // rows_per_range)
+    parts = min(most_ranges, max(1, n // rows_per_range))
     cuts = sorted(set(rows.select("id").approxQuantile(
         "id", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
-    limits = F.lit([int(c) for c in cuts]).cast("array<bigint>")
-    ranged = rows.withColumn("range", _range_of(F.col("id"), [int(c) for c in cuts], limits))
+    ranged = rows.withColumn("range", _range_of(F.col("id"), [int(c) for c in cuts]))
     # The first row of each range, by id and then text, as (id, text hash).
     firsts = (ranged.groupBy("range")
               .agg(F.min(F.struct(F.col("id").isNotNull().alias("k"), "id",
@@ -169,17 +170,16 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return ranged.select("range", F.lit(0).alias("tail"), "id", "text").unionByName(tails)
 
 
-def _range_of(value: Column, cuts: list[int], limits: Column) -> Column:
-    """How many limits are <= value; nulls go first."""
+def _range_of(value: Column, cuts: list[int]) -> Column:
+    """How many cuts are <= value; nulls go first."""
     if not cuts:
         return F.lit(0)
-    from bisect import bisect_right
 
     @F.pandas_udf("int")
     def find(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda v: 0 if pd.isna(v) else bisect_right(cuts, v)).astype("int32")
+        return pd.Series(np.searchsorted(cuts, ids.to_numpy(dtype=np.int64), side="right"), dtype="int32")
 
-    return find(value)
+    return find(F.coalesce(value, F.lit(-(1 << 63))))
 
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -51,3 +51,15 @@ def test_components_of_a_chain_a_star_and_a_loop(spark):
 
 def test_components_of_no_edges(spark):
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bloom_filter_misses_nothing(spark):
+    keys = [hash((i, "k")) for i in range(3000)]
+    df = spark.createDataFrame([(k,) for k in keys], "h long")
+    filled = np.frombuffer(common.bloom_of(df, 1 << 16), dtype=np.uint64)
+    inside = np.array(keys, dtype=np.int64).view(np.uint64)
+    others = np.array([hash((i, "o")) for i in range(3000)], dtype=np.int64).view(np.uint64)
+    assert common.bloom_has(filled, inside).all()
+    assert common.bloom_has(filled, others).mean() < 0.02
+    empty = np.frombuffer(common.bloom_of(df.limit(0), 1 << 16), dtype=np.uint64)
+    assert not common.bloom_has(empty, inside).any()

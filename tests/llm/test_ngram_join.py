@@ -39,8 +39,9 @@ def test_against_brute_force(spark):
     check(spark, rows)
 
 
-def test_large_group_of_near_copies_in_blocks(spark):
+def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
     """More classes than a block: every link between different texts counts."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 90)
     text = " ".join(f"w{i}" for i in range(120))
     rows = [(i, f"{text} n{i}") for i in range(700)] + [(i, text) for i in range(700, 900)]
     got = check(spark, rows)
