@@ -105,19 +105,19 @@ def live_slots(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
 
 
 def publish(df: DataFrame, base: str, partitions: Sequence[str] = (), *,
-            replaces: Sequence[str] | None = None, one_file: bool = False) -> int:
+            replaces: Sequence[str] | None = None) -> int:
     """Write ``df`` as a new version and let readers see it; return the commit.
 
     ``replaces`` names the slots whose content this is, so one of them that gets no
     row becomes empty; None replaces the whole table; [] adds or replaces just
-    the slots that ``df`` has rows of. ``one_file`` gathers each period of a small
-    derived table into one task.
+    the slots that ``df`` has rows of. Rows are rebalanced by period before they
+    are written: a small period becomes one file, a large one is split by size.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
     path = f"{base.rstrip('/')}/d={version}"
     if partitions:
-        out = df.repartition(*partitions) if one_file else df
+        out = df.hint("rebalance", *partitions)
         out.write.partitionBy(*partitions).parquet(path)
         slots = _written_slots(spark, path, len(partitions))
     else:
