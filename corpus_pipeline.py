@@ -21,24 +21,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palmyra.llm import decontaminate, mixing, ngram_join, token_store, toxicity
-from palmyra.llm.common import ship_package
+from palmyra.llm.common import prepare_workers
 from palmyra.llm.queries import MIX_SHARE, MIX_WEIGHTS, domain_of, table
 from palmyra.sources.writers import cut_lineage, scratch_path
 
 
+#: The workers of this stage have served the stages before, so it remembers less.
+CACHE_PIECES = 200_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return ngram_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -48,9 +52,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     out = scratch_path(spark, "tokens")
-    token_store.write_tokens(docs, out)
+    token_store.write_tokens(docs, out, cache_pieces=CACHE_PIECES)
     return token_store.read_tokens(spark, out, with_ids=False)
 
 

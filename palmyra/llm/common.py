@@ -9,6 +9,9 @@ whole batch of texts at once.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -145,6 +148,30 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
                 yield gram_hashes(w.hashes[a:b], int(b - a)) if b > a else np.empty(0, U64)
 
 
+#: Arrow batches of texts, where the submitter has set nothing: a batch of very long
+#: texts is bounded in bytes too.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+                 "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Settings and code that the Python workers of the operators need."""
+    submitted = spark.sparkContext.getConf()
+    for k, v in ARROW_BATCHES.items():
+        if not submitted.contains(k):
+            spark.conf.set(k, v)
+    ship_package(spark)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a partition: Spark keeps
+    Python workers for later stages, beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, unless their path has it already
     (spark-submit --py-files, or PYTHONPATH)."""

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palmyra.llm.common import (Words, bloom_has, bloom_of, gram_hashes, iter_words, mix64,
-                                row_keys)
+from palmyra.llm.common import (Words, bloom_has, bloom_of, give_back, gram_hashes, iter_words,
+                                mix64, row_keys)
 from palmyra.sources.writers import cut_lineage
 
 WINDOW = 10
@@ -144,6 +144,7 @@ def scan_documents(docs: DataFrame, id_col: str, text_col: str, bloom: bytes, sh
                 [pa.array([next(keys) for _ in n_words], pa.int64()), batch.column("id"),
                  batch.column("text_key"), pa.array(n_words, pa.int64()), pa.array(prints, pa.list_(element))],
                 names=["row", "id", "text_key", "n_words", "prints"])
+        give_back()
 
     return (docs.select(F.col(id_col).cast("long").alias("id"),
                         F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))

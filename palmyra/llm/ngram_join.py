@@ -35,16 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palmyra.llm.common import (bloom_has, bloom_of, connected_components, mix64, row_keys,
-                                shingle_sets)
+from palmyra.llm.common import (bloom_has, bloom_of, connected_components, give_back, mix64,
+                                row_keys, shingle_sets)
 from palmyra.sources.writers import cut_lineage
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.999
 MAX_HASHES = 384
-#: A block holds about so many classes and shingles.
-BLOCK_ROWS = 256
+#: A block holds about so many classes and shingles; a group of k blocks sends each
+#: text k times.
+BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
 #: Bits of the filter on member texts, whatever their number (8 MB).
 BLOOM_BITS = 1 << 26
@@ -112,6 +113,7 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
                  batch.column("text_key"), pa.array(set_keys, pa.binary()), pa.array(sizes, pa.int32()),
                  pa.array(bands_of, pa.list_(pa.int64()))],
                 names=["row", "id", "text_key", "set_key", "n", "bands"])
+        give_back()
 
     return _keyed(docs, id_col, text_col).mapInArrow(run, schema)
 
@@ -229,6 +231,8 @@ def verify(members: DataFrame, texts: DataFrame, threshold: float,
                 yield _block_rows(out)
         if held:
             yield _block_rows(_block(held, key, threshold))
+        held.clear()
+        give_back()
 
     return (dealt.repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y", "second", "id")
             .mapInArrow(run, "id long, root long, links long"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from palmyra.llm import (decontaminate, fingerprint, mixing, ngram_join, pii, secret_scan,
                          sharding, token_store, toxicity, warc)
-from palmyra.llm.common import ship_package
+from palmyra.llm.common import prepare_workers
 from palmyra.sources.writers import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 def registered(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare_workers(spark)
         return query(spark, sf_dir)
 
     QUERIES[query.__name__] = run

@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -44,6 +44,7 @@ DICT_BYTES = 112 * 1024
 #: characters of each; every document is encoded whole.
 SAMPLE_DOCS = 512
 SAMPLE_CHARS = 20_000
+#: Pieces that a Python worker remembers.
 CACHE_PIECES = 1_500_000
 NULL_ID = -(1 << 63)
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u4")])
@@ -58,6 +59,22 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """Results of ``find`` by its argument; emptied when it holds too many."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find, self.most = find, CACHE_PIECES
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.find(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, as bytes.
 
@@ -85,7 +102,8 @@ class Encoder:
         self.by_piece = (pre.startswith("ByteLevel(add_prefix_space=False")
                          and "use_regex=True" in pre and self.tokenizer.normalizer is None
                          and self.tokenizer.post_processor is None)
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Known(self._piece)   # after a space
+        self.parts = _Known(self.raw)
 
         # Printable bytes stand for themselves in the model's alphabet, the others for
         # the characters from U+0100 on, in order.
@@ -100,17 +118,10 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a space and ``piece``."""
-        found = self.pieces.get(piece)
-        if found is None:
-            parts = self.INNER.split(" " + piece)
-            if len(parts) > 1:
-                found = self._piece(parts[0][1:]) + b"".join(map(self.raw_cached, parts[1:]))
-            elif self.LETTERS.fullmatch(piece):
-                found = self._letters(parts[0])
-            else:
-                found = self.raw(parts[0])
-            self._keep(piece, found)
-        return found
+        first, *rest = self.INNER.split(" " + piece)
+        if rest:
+            return self.pieces[first[1:]] + b"".join(map(self.parts.__getitem__, rest))
+        return self._letters(first) if self.LETTERS.fullmatch(piece) else self.raw(first)
 
     def _letters(self, part: str) -> bytes:
         """Ids of one pre-token: letters after at most one space. It goes straight
@@ -118,38 +129,22 @@ class Encoder:
         spelled = part.encode().decode("latin-1").translate(self.alphabet)
         return np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
 
-    def raw_cached(self, part: str) -> bytes:
-        key = "\0" + part           # not the same key as a piece after a space
-        found = self.pieces.get(key)
-        if found is None:
-            found = self.raw(part)
-            self._keep(key, found)
-        return found
-
-    def _keep(self, key: str, value: bytes) -> None:
-        if len(self.pieces) >= CACHE_PIECES:
-            self.pieces.clear()
-        if len(key) <= 64:
-            self.pieces[key] = value
-
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.by_piece or self.ADJACENT.search(text):
             return self.raw(text)
         head, *rest = text.split(" ")
-        first = self.raw_cached(head) if head else b""
-        try:
-            return first + b"".join(map(self.pieces.__getitem__, rest))
-        except KeyError:
-            return first + b"".join(map(self._piece, rest))
+        return self.parts[head] + b"".join(map(self.pieces.__getitem__, rest))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> Encoder:
     """One a Python worker: its pieces serve all of its tasks."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
-    return _encoders[path]
+    found = _encoders[path]
+    found.pieces.most = found.parts.most = cache_pieces
+    return found
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -181,9 +176,11 @@ def sample_ids(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: i
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str | None = None, end_id: int = END_ID,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text",
+                 cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """Encode every document of ``docs`` into the directory ``out``; return the
-    manifest. Other columns of ``docs`` are not read."""
+    manifest. Other columns of ``docs`` are not read. ``cache_pieces``: how many
+    pieces a Python worker remembers (about 200 bytes each), for speed only."""
     path = tokenizer or tokenizer_path()
     files.make_dir(out)
     dictionary = train_dictionary(sample_ids(docs, id_col, text_col, path, end_id))
@@ -195,7 +192,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str | None = None, end_id
                .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, cache_pieces)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         squeeze = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True,
                                            **_codec(files.read_bytes(f"{out}/dictionary")))

@@ -35,6 +35,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palmyra.llm.common import give_back
 from palmyra.sources.writers import cut_lineage
 
 #: At most so many labelled rows are fitted, and so many entries learnt.
@@ -98,7 +99,7 @@ class Lexicon:
 class _Marks(dict):
     """word -> (fixed, weight, second person), found once a word."""
 
-    def __init__(self, lexicon: Lexicon, most: int = 500_000):
+    def __init__(self, lexicon: Lexicon, most: int = 100_000):
         super().__init__()
         self.lexicon, self.most = lexicon, most
 
@@ -159,6 +160,8 @@ def with_features(rows: DataFrame, lexicon: Lexicon, text_col: str = "text") ->
         marks = _Marks(shared.value)
         for part in parts:
             yield pd.Series([features(t or "", marks) for t in part], dtype=object)
+        marks.clear()
+        give_back()
 
     return rows.select(F.struct("*").alias("row"), run(F.col(text_col).cast("string")).alias("_f"))
 

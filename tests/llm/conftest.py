@@ -3,5 +3,5 @@ import pytest
 
 @pytest.fixture(autouse=True)
 def package_on_workers(spark):
-    from palmyra.llm.common import ship_package
-    ship_package(spark)
+    from palmyra.llm.common import prepare_workers
+    prepare_workers(spark)

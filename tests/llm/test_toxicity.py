@@ -30,8 +30,8 @@ DOCS = "doc_id long, text string, lang string, score double"
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    from palmyra.llm.common import ship_package
-    ship_package(spark)
+    from palmyra.llm.common import prepare_workers
+    prepare_workers(spark)
     rows, labels = corpus()
     docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
     return docs, marks, dict(labels), toxicity.train(docs, marks)
