@@ -232,7 +232,10 @@ def captured_pages(spark: SparkSession, pages: DataFrame, out: str, key: str = "
     page the payload's size and digest, how it is stored and, for a revisit, the
     key of the response that it refers to."""
     write_captures(plan_captures(pages, key, uri, body), out)
-    captures = cut_lineage(assemble(read_records(spark, out)), "captures")
+    # The archives are parsed once; their records, without payloads, are read again
+    # for each side of the assembly.
+    records = cut_lineage(read_records(spark, out), "records")
+    captures = cut_lineage(assemble(records), "captures")
     facts = F.col("metadata")[0]["fields"]
     flat = captures.select(
         "capture_id", F.expr("nullif(metadata[0].fields['key'], '')").cast("long").alias(key),
