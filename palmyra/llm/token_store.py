@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate
 
@@ -45,7 +47,7 @@ DICT_BYTES = 112 * 1024
 SAMPLE_DOCS = 512
 SAMPLE_CHARS = 20_000
 #: Pieces that a Python worker remembers.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 2_000_000
 NULL_ID = -(1 << 63)
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u4")])
 MANIFEST = ("shard int, bin string, idx string, n_docs long, n_tokens long, "
@@ -87,47 +89,59 @@ class Encoder:
     """
 
     ADJACENT = re.compile(r"\s\s")
-    #: Further certain boundaries: letter | mark, and around a lone line end.
-    INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,\n])"
-                       r"|(?<=[.,])(?=\n)|(?<=\n)(?=\S)")
-
+    #: Further certain boundaries: letter | sign (an apostrophe may begin a token with
+    #: letters), and around a lone line end.
+    INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-&(-/:-@\[-`{-~\n])"
+                       r"|(?<=[!-/:-@\[-`{-~])(?=\n)|(?<=\n)(?=\S)")
     LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    MARKS = (".", ",")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        if sys.byteorder != "little":
+            raise RuntimeError("ids are written little-endian")
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         pre = repr(self.tokenizer.pre_tokenizer)
         self.by_piece = (pre.startswith("ByteLevel(add_prefix_space=False")
                          and "use_regex=True" in pre and self.tokenizer.normalizer is None
                          and self.tokenizer.post_processor is None)
         self.pieces = _Known(self._piece)   # after a space
-        self.parts = _Known(self.raw)
+        self.parts = _Known(self._part)
 
         # Printable bytes stand for themselves in the model's alphabet, the others for
         # the characters from U+0100 on, in order.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.alphabet = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
+        self.space = chr(self.alphabet[32])
         self.model = self.tokenizer.model
 
     def raw(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        dtype=self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a space and ``piece``."""
+        if self.LETTERS.fullmatch(piece):
+            return self._letters(self.space, piece)
+        if piece[-1:] in self.MARKS and self.LETTERS.fullmatch(piece, 0, len(piece) - 1):
+            return self.pieces[piece[:-1]] + self.parts[piece[-1]]
         first, *rest = self.INNER.split(" " + piece)
         if rest:
             return self.pieces[first[1:]] + b"".join(map(self.parts.__getitem__, rest))
-        return self._letters(first) if self.LETTERS.fullmatch(piece) else self.raw(first)
+        return self.raw(first)
+
+    def _part(self, part: str) -> bytes:
+        return self._letters("", part) if self.LETTERS.fullmatch(part) else self.raw(part)
 
-    def _letters(self, part: str) -> bytes:
-        """Ids of one pre-token: letters after at most one space. It goes straight
-        to the tokenizer's model, without the passes over a text around it."""
-        spelled = part.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(spelled)], dtype=self.dtype).tobytes()
+    def _letters(self, before: str, letters: str) -> bytes:
+        """Ids of one pre-token: letters, with or without a space before. It goes
+        straight to the tokenizer's model, without the passes over a text around it."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(before + letters)]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:

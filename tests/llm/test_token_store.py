@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -13,8 +14,8 @@ ROWS = [(4, "Hello, world. This is  a test\n\nof <|endoftext|> spaces "), (1, No
 
 @pytest.fixture(scope="module")
 def store(spark):
-    from palmyra.llm.common import ship_package
-    ship_package(spark)
+    from palmyra.llm.common import prepare_workers
+    prepare_workers(spark)
     docs = spark.createDataFrame([(i, t, "n") for i, t in ROWS], "doc_id long, text string, shard string")
     out = scratch_path(spark, "test-tokens")
     token_store.write_tokens(docs, out)
@@ -76,3 +77,11 @@ def test_pieces_give_the_ids_of_whole_texts(sf0001):
     assert enc.by_piece
     for text in pq.read_table(f"{sf0001}/documents.parquet", columns=["text"])["text"].to_pylist():
         assert enc.encode(text) == enc.raw(text)
+
+
+def test_pieces_of_odd_texts():
+    rng = random.Random(3)
+    enc = token_store.encoder(token_store.tokenizer_path())
+    for _ in range(5000):
+        text = "".join(rng.choices("aB's.,#!\n \té1_-$%\"’ ll re", k=rng.randrange(1, 25)))
+        assert enc.encode(text) == enc.raw(text), text
