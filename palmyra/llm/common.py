@@ -235,30 +235,47 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Label every node of ``edges`` (a, b) with the smallest node that it
     reaches: (node, label).
 
-    Minimum labels spread over the edges, and each round also follows the
-    label's own label, so a chain of n nodes ends after about log n rounds. Each
-    round is written to the shared folder, which cuts the lineage. No step
-    gathers a component: a round is a join and a minimum, both by node.
+    Each round hooks every node to its smallest neighbour, follows those hooks to
+    their roots, and goes on with the edges between different roots only, so a
+    large group costs its edges once. Rounds and hook lengths are logarithmic. Each
+    step is written to the shared folder, which cuts the lineage; none gathers a
+    component: a step is a join and a minimum, both by node.
     """
-    both = cut_lineage(edges.select("a", "b").where("a <> b")
-                       .select(F.explode(F.array(F.struct("a", "b"),
-                                                 F.struct(F.col("b").alias("a"),
-                                                          F.col("a").alias("b")))).alias("e"))
-                       .select("e.*").distinct(), "cc-edges")
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node"))
-                         .agg(F.least(F.min("b"), F.first("a")).alias("label")), "cc-labels")
-    for _ in range(max_rounds):
-        near = (both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("lb").alias("lb")))
-        step = (labels.join(near, "node")
-                .select("node", "label", F.least("label", "lb").alias("new")))
-        # Follow the label: a node's label is itself a node with a label.
-        jump = labels.select(F.col("node").alias("new"), F.col("label").alias("far"))
-        nxt = cut_lineage(step.join(jump, "new", "left")
-                          .select("node", F.least("new", "far").alias("label"),
-                                  (F.least("new", "far") < F.col("label")).alias("moved")),
-                          "cc-labels")
-        labels = nxt.select("node", "label")
-        if not nxt.where("moved").limit(1).count():
-            return labels
+    pairs = cut_lineage(_ordered(edges.select("a", "b")), "cc-edges")
+    found = pairs.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
+    for level in range(max_rounds):
+        if not pairs.limit(1).count():
+            return found
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = _roots(cut_lineage(both.groupBy(F.col("a").alias("node"))
+                                   .agg(F.least(F.min("b"), F.first("a")).alias("label")),
+                                   "cc-hooks"), max_rounds)
+        up = roots.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        found = roots if level == 0 else cut_lineage(
+            found.join(up, "label", "left")
+            .select("node", F.coalesce("root", "label").alias("label")), "cc-labels")
+        pairs = cut_lineage(_ordered(
+            pairs.join(up.select(F.col("label").alias("a"), F.col("root").alias("ra")), "a")
+            .join(up.select(F.col("label").alias("b"), F.col("root").alias("rb")), "b")
+            .select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "cc-edges")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def _ordered(edges: DataFrame) -> DataFrame:
+    """Each edge once, the smaller node first, without loops."""
+    return (edges.where("a <> b")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _roots(hooks: DataFrame, max_rounds: int) -> DataFrame:
+    """Follow each node's label to the end; every label is a node, a smaller one or
+    the node itself. Each pass doubles the steps followed."""
+    for _ in range(max_rounds):
+        up = hooks.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        passed = cut_lineage(hooks.join(up, "label").select(
+            "node", F.col("root").alias("label"), (F.col("root") < F.col("label")).alias("moved")),
+            "cc-hooks")
+        hooks = passed.select("node", "label")
+        if not passed.where("moved").limit(1).count():
+            return hooks
+    raise RuntimeError(f"hooks did not settle in {max_rounds} passes")
