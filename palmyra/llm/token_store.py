@@ -84,8 +84,8 @@ class Encoder:
     token when neither side of that space is white space, so a text is the
     concatenation of its pieces between single spaces, and the ids of pieces
     that come again are looked up. A text with two white-space characters side
-    by side is encoded as it stands, and so is every text for another kind of
-    tokenizer.
+    by side or with the content of an added token is encoded as it stands, and so
+    is every text for another kind of tokenizer.
     """
 
     ADJACENT = re.compile(r"\s\s")
@@ -108,6 +108,8 @@ class Encoder:
         self.by_piece = (pre.startswith("ByteLevel(add_prefix_space=False")
                          and "use_regex=True" in pre and self.tokenizer.normalizer is None
                          and self.tokenizer.post_processor is None)
+        # The tokenizer takes these out of a text before it cuts the rest.
+        self.added = tuple({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.pieces = _Known(self._piece)   # after a space
         self.parts = _Known(self._part)
 
@@ -146,7 +148,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_piece or self.ADJACENT.search(text):
+        if (not self.by_piece or any(map(text.__contains__, self.added))
+                or self.ADJACENT.search(text)):
             return self.raw(text)
         head, *rest = text.split(" ")
         return self.parts[head] + b"".join(map(self.pieces.__getitem__, rest))

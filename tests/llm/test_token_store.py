@@ -85,3 +85,10 @@ def test_pieces_of_odd_texts():
     for _ in range(5000):
         text = "".join(rng.choices("aB's.,#!\n \té1_-$%\"’ ll re", k=rng.randrange(1, 25)))
         assert enc.encode(text) == enc.raw(text), text
+
+
+@pytest.mark.parametrize("text", ["one <|endoftext|> two", "x<|endoftext|>y", "<|endoftext|>",
+                                  "a <|endoftext| > b<|endoftext|>"])
+def test_pieces_keep_added_tokens(text):
+    enc = token_store.encoder(token_store.tokenizer_path())
+    assert enc.encode(text) == enc.raw(text)
