@@ -1,6 +1,7 @@
 """Secret scan: wide candidates, and a random forest that removes false positives.
 
-Candidates are long tokens and the values of assignments to credential-like names.
+Candidates are long tokens, the values of assignments to names that end in a
+credential-like word (``db_password``, ``"password":``), and passwords in URLs.
 A forest over the candidate's length, character transitions, dictionary coverage,
 path and neighbouring words, trained from labelled findings, gives each one its
 probability of being a secret.
@@ -40,12 +41,19 @@ SEED = 3
 CONTEXT = 40
 
 TOKEN = r"(?:(?<![A-Za-z0-9_+/=.-])|\G)[A-Za-z0-9_+/=.-]{16,}+"
-NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
-ASSIGNED = rf"(?i)(?<=\b{NAMES}\x20?[=:]\x20?[\"']?)[^\s\"',;]{{6,}}+"
+NAMES = (r"(?:password|passwd|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|auth"
+         r"|credential|bearer)")
+# Between a name and its value: a closing quote, the sign, an opening quote.
+SIGN = r"[\"']?\s{0,4}(?::=|=>|[=:])\s{0,4}[\"']?"
+LOGIN = r"://[^\s:/@\"']{0,64}:"
+# The short look-behinds spare most positions the long ones.
+ASSIGNED = (rf"(?i)(?<=[=:>\s\"'])(?<={NAMES}{SIGN})(?![=>])[^\s\"',;]{{6,}}+"
+            rf"|(?<=:)(?<={LOGIN})[^\s/\"'<>]+(?=@)")
+MAY_ASSIGN = rf"(?i){NAMES}{SIGN}|{LOGIN}"
 # Published formats of tokens; fixed values.
 FORMATS = (r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}"
            r"|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]+\.[0-9A-Za-z_.-]+)$")
-CREDENTIAL_WORDS = rf"(?i)\b{NAMES}\b"
+CREDENTIAL_WORDS = rf"(?i)(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z]))){NAMES}(?![A-Za-z])"
 DUMMY_WORDS = r"(?i)(?:example|sample|dummy|test|fake|placeholder|changeme|xxxx|your[_-])"
 FEATURES = ("length", "letters", "digits", "uppers", "signs", "distinct", "switches",
             "switch_share", "longest_letters", "longest_digits", "hex", "vowels", "coverage",
@@ -61,7 +69,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = matches(text, ASSIGNED, text.rlike(CREDENTIAL_WORDS))
+    named = matches(text, ASSIGNED, text.rlike(MAY_ASSIGN))
     found = rows.select("id", "path", "text", named.alias("named"),
                         matches(text, TOKEN).alias("long"))
     alone = F.filter("long", lambda s: ~F.exists("named", lambda x: (x["start"] < s["end"])

@@ -87,3 +87,14 @@ def test_no_python_in_the_plan(spark, sf0001):
     from palmyra.llm.queries import QUERIES
     plan = QUERIES["op2_secret_scan"](spark, sf0001)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("text,value", [
+    ('{"password": "hunter22!x"}', "hunter22!x"), ("db_password: hunter22!x", "hunter22!x"),
+    ("client_secret: Ab3$9kLq", "Ab3$9kLq"), ("see postgres://u:hunter22@host/db", "hunter22"),
+    ("redis://:p@ss22@host", "p@ss22"), ("dbPassword  =  'hunter22!x'", "hunter22!x"),
+    ("AWS_SECRET_ACCESS_KEY=wJalrXUt!nFEMI", "wJalrXUt!nFEMI"), ("SECRET_KEY = \"a$b^c&d*e\"", "a$b^c&d*e")])
+def test_usual_forms_of_named_values(spark, text, value):
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r.value, r.assigned) for r in got] == [(value, True)]
+    assert text[got[0].start:got[0].end] == value
