@@ -3,7 +3,7 @@
 Sources form a tree: domain, language, source. A token budget goes down from the
 root: each node divides its budget among its children by their weights, a
 child that cannot use its share (its subtree has fewer tokens than that, over
-all epochs) gets what it has, and the rest goes to its siblings by their
+all epochs and without nodes of weight zero) gets what it has, and the rest goes to its siblings by their
 weights. As a node never gets more than its subtree holds, a shortage is first
 made good by siblings and reaches the parent's siblings only when the whole
 parent is short.
@@ -27,7 +27,11 @@ together or not at all; a weight of zero gives nothing; missing weights count as
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,12 +51,18 @@ def n_tokens(text_col: str) -> Column:
 
 
 def _weight(level: str, weights: Mapping[str, Mapping[str, float]]) -> Column:
-    """Whole weights keep the shares exact; a float is scaled by 1000."""
-    given = weights.get(level, {})
-    value = F.lit(1000)
-    for name, w in given.items():
-        value = F.when(F.col(level) == name, F.lit(round(1000 * w))).otherwise(value)
-    return value.cast("long")
+    """Whole weights keep the shares exact: floats are scaled by 1000, or by the power
+    of ten that makes all of them whole, as far as the largest stays below 10 ** 12.
+    A weight above zero never becomes zero."""
+    given, digits = weights.get(level, {}), 3
+    most = max([1, *given.values()])
+    while (most * 10 ** (digits + 1) <= 10 ** 12
+           and any(Decimal(str(float(w))) * 10 ** digits % 1 for w in given.values())):
+        digits += 1
+    scale = 10 ** digits
+    whole = {name: max(1, round(scale * w)) if w > 0 else 0 for name, w in given.items()}
+    known = F.from_json(F.lit(json.dumps(whole)), "map<string,bigint>")
+    return F.coalesce(known[F.col(level)], F.lit(scale)).cast("long")
 
 
 def divide(nodes: DataFrame, parent: list[str], level: str) -> DataFrame:
@@ -80,7 +90,10 @@ def leaf_budgets(leaves: DataFrame, budget: Column, weights: Mapping[str, Mappin
     given, parent = None, []
     for i, level in enumerate(LEVELS):
         path = list(LEVELS[:i + 1])
-        nodes = (whole.groupBy(*path).agg(F.sum("capacity").alias("capacity"),
+        # What lies below a weight of zero can't be spent, so it is no capacity.
+        usable = reduce(and_, (_weight(x, weights) > 0 for x in LEVELS[i + 1:]), F.lit(True))
+        held = F.when(usable, F.col("capacity")).otherwise(0)
+        nodes = (whole.groupBy(*path).agg(F.sum(held).alias("capacity"),
                                           F.sum("tokens").alias("tokens"))
                  .withColumn("weight", _weight(level, weights)))
         if given is None:

@@ -96,3 +96,26 @@ def test_shortage_goes_to_siblings_first(spark):
 def test_empty_table_keeps_all_columns(spark):
     got = mixing.mix(table(spark, []), F.lit(100))
     assert got.count() == 0 and got.select("doc.*").columns == table(spark, []).columns
+
+
+def test_budget_of_a_source_without_weight_goes_on(spark):
+    """Only s3's tokens count as what the domain of s2 and s3 can use."""
+    rows = [(i, "w", "en", "s2") for i in range(100)] + [(100 + i, "w", "en", "s3") for i in range(50)] \
+        + [(1000 + i, "w", "en", "s1") for i in range(200)]
+    got = mixing.mix(table(spark, rows), F.lit(200), {"source": {"s2": 0}}, domain())
+    assert {r.source: r["count"] for r in got.groupBy("source").count().collect()} == {"s3": 50, "s1": 150}
+
+
+def test_small_weights_of_many_sources(spark):
+    leaves = spark.range(3000).selectExpr("'all' AS domain", "'en' AS lang", "concat('s', id) AS source",
+                                          "CAST(2 AS BIGINT) AS tokens")
+    weights = {"source": {f"s{i}": 1 / 3000 for i in range(3000)}}
+    got = mixing.leaf_budgets(leaves, F.lit(4500), weights, 1).groupBy("budget").count().collect()
+    assert [(r.budget, r["count"]) for r in got] == [(1, 3000)]
+
+
+def test_weights_between_thousandths(spark):
+    leaves = spark.createDataFrame([("all", "en", "a", 10_000), ("all", "en", "b", 10_000)],
+                                   "domain string, lang string, source string, tokens long")
+    got = mixing.leaf_budgets(leaves, F.lit(5000), {"source": {"a": 0.0015, "b": 0.0035}}, 1)
+    assert {r.source: r.budget for r in got.collect()} == {"a": 1500, "b": 3500}
