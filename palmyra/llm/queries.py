@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palmyra.llm import (decontaminate, fingerprint, mixing, ngram_join, pii, secret_scan,
-                         sharding, token_store, toxicity, warc)
+from palmyra.llm import (decontaminate, fingerprint, merkle, mixing, ngram_join, pii,
+                         secret_scan, sharding, token_store, toxicity, warc)
 from palmyra.llm.common import prepare_workers
 from palmyra.sources.writers import scratch_path
 
@@ -106,8 +106,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@registered
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0}, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in
+                                ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
 _CASES = lambda column, weights: " ".join(
     f"WHEN {column} = '{k}' THEN {round(1000 * w)}" for k, w in weights.items())
 
@@ -212,4 +220,55 @@ items AS (SELECT doc_id, count(DISTINCT item) AS n_items,
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         coalesce(list_reduce(
+           [ord(c) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+           lambda crc, c: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1
+             THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, c)), 4294967295), 0) AS crc
+  FROM documents),
+rows AS (
+  SELECT doc_id, lang, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 3 = 0
+              THEN {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              ELSE {_LEAF.format(text="text")} END AS claimed FROM given),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+           FROM rows),
+tree AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], ''))
+                           FOR i IN range(0, (len(nodes) + 7) // 8)] FROM tree WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+             FROM tree WHERE len(nodes) = 1),
+above AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, [sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], ''))
+                     FOR i IN range(0, (len(nodes) + 7) // 8)] FROM above WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.pos, p.lang, t.level, CAST(floor(p.pos / 8 ** t.level) AS BIGINT) AS node, nodes
+  FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang AND len(t.nodes) > 1
+  UNION ALL
+  SELECT p.pos, p.lang, 1000 + a.level, CAST(floor(s.place / 8 ** a.level) AS BIGINT), nodes
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN above a ON len(a.nodes) > 1),
+sides AS (
+  SELECT pos, lang, row_number() OVER (PARTITION BY lang, pos ORDER BY level) AS nth,
+         array_to_string(nodes[node - node % 8 + 1:node], '') AS before,
+         array_to_string(nodes[node + 2:node - node % 8 + 8], '') AS after FROM steps),
+fold AS (
+  SELECT lang, pos, 0 AS nth, claimed AS node FROM placed
+  UNION ALL
+  SELECT f.lang, f.pos, f.nth + 1, sha256(s.before || f.node || s.after)
+  FROM fold f JOIN sides s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.nth = f.nth + 1),
+ends AS (SELECT lang, pos, arg_max(node, nth) AS folded_root FROM fold GROUP BY lang, pos),
+proofs AS (SELECT lang, pos, string_agg(before || after, '' ORDER BY nth) AS siblings
+           FROM sides GROUP BY lang, pos)
+SELECT p.doc_id, p.leaf, s.subroot, r.nodes[1] AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+       folded_root, folded_root = r.nodes[1] AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+JOIN above r ON len(r.nodes) = 1
+JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
+LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos""",
 }
