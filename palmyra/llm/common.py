@@ -42,6 +42,7 @@ _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[48:58] = True
 _IS_WORD[97:123] = True
 _IS_WORD[128:] = True
+_AS_IS = np.arange(256, dtype=np.uint8)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -75,6 +76,7 @@ class Words:
     starts: np.ndarray    # byte range of each word in data
     ends: np.ndarray
     first: np.ndarray     # first word of each row; hi - lo + 1 entries
+    rows: np.ndarray      # first byte of each row in data; hi - lo + 1 entries
 
     def text(self, a: int, b: int) -> list[str]:
         raw = self.data
@@ -93,9 +95,17 @@ def utf8_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off, raw
 
 
-def iter_words(texts: pa.Array) -> Iterator[Words]:
+def all_bytes_but(marks: bytes) -> np.ndarray:
+    """Table of the bytes that words are made of, where they end at ``marks``."""
+    inside = np.ones(256, dtype=bool)
+    inside[list(marks)] = False
+    return inside
+
+
+def iter_words(texts: pa.Array, inside: np.ndarray = _IS_WORD, lower: bool = True
+               ) -> Iterator[Words]:
     """Words of every text, in runs of rows of about CHUNK_BYTES (a longer
-    text makes a run of its own)."""
+    text makes a run of its own). ``inside`` says which bytes words are made of."""
     if not len(texts):
         return
     off, raw = utf8_buffers(texts)
@@ -103,15 +113,16 @@ def iter_words(texts: pa.Array) -> Iterator[Words]:
     while lo < n:
         hi = int(np.searchsorted(off, off[lo] + CHUNK_BYTES, side="right")) - 1
         hi = min(n, max(hi, lo + 1))
-        yield _split(lo, hi, raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+        yield _split(lo, hi, raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], inside, lower)
         lo = hi
 
 
-def _split(lo: int, hi: int, raw: np.ndarray, off: np.ndarray) -> Words:
-    data = _LOWER[raw]
+def _split(lo: int, hi: int, raw: np.ndarray, off: np.ndarray, members: np.ndarray,
+           lower: bool) -> Words:
+    data = (_LOWER if lower else _AS_IS)[raw]
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)
-    inside[1:-1] = _IS_WORD[data]
+    inside[1:-1] = members[data]
     row_start = np.zeros(n + 1, dtype=bool)
     row_start[off] = True
     edge = ~inside[:-1] | row_start           # edge[i]: a word may begin at byte i
@@ -121,7 +132,7 @@ def _split(lo: int, hi: int, raw: np.ndarray, off: np.ndarray) -> Words:
     np.cumsum((data.astype(U64) + U64(1)) * _power_table("up", BYTE_BASE, n), out=total[1:])
     down = _power_table("down", BYTE_BASE_INV, n + 1)
     hashes = mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
-    return Words(lo, hi, data, hashes, starts, ends, np.searchsorted(starts, off))
+    return Words(lo, hi, data, hashes, starts, ends, np.searchsorted(starts, off), off)
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palmyra.llm import (decontaminate, fingerprint, merkle, mixing, ngram_join, pii,
-                         secret_scan, sharding, token_store, toxicity, warc)
+                         quality, secret_scan, sharding, token_store, toxicity, warc)
 from palmyra.llm.common import prepare_workers
 from palmyra.sources.writers import scratch_path
 
@@ -111,11 +111,26 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || {0}, '-')"
 _LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in
                                 ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+#: Characters of each class of op13, in the order of quality.CLASSES.
+_INSIDE = ["a-z", "A-Z", "0-9", r" \t", r"\n\r\x0B\x0C", ".,;:", "!?", "''\"()\\[\\]{}\\-/", "#*$%&|<>",
+           r"+=@_\^~`\\", r"\x{80}-\x{27F}", r"\x{280}-\x{7FF}", r"\x{800}-\x{FFFF}",
+           r"\x{10000}-\x{10FFFF}"]
+_COUNT = lambda inside: f"len(regexp_replace(t, '[^{inside}]', '', 'g'))"
+_JS = ("sqrt(least(greatest(list_sum([CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END"
+       " + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END"
+       " FOR z IN list_zip({p}, {q})]) / 2, 0), 1))")
+_CHANCE = "sqrt({bins} / (8 * ln(2) * greatest({n}, 1)))"
 _CASES = lambda column, weights: " ".join(
     f"WHEN {column} = '{k}' THEN {round(1000 * w)}" for k, w in weights.items())
 
@@ -271,4 +286,67 @@ FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
 JOIN above r ON len(r.nodes) = 1
 JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
 LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos""",
+    "op13_quality_rules": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS g, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {_WORDS} AS terms
+  FROM documents),
+windows AS (SELECT rid, unnest(range(1, len(w) - 1)) AS pos,
+                   unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS x FROM d WHERE len(w) >= 3),
+twice AS (SELECT rid, unnest([pos, pos + 1, pos + 2]) AS p
+          FROM (SELECT *, count(*) OVER (PARTITION BY rid, x) AS n FROM windows) WHERE n > 1),
+again AS (SELECT rid, count(DISTINCT p) AS n FROM twice GROUP BY rid),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS n
+          FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+measured AS MATERIALIZED (
+  SELECT d.rid, doc_id, g, t, terms, len(w) AS n_words,
+         CAST(coalesce(list_sum([len(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+         {_COUNT("#*$%&|<>")} AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
+         coalesce(again.n, 0) AS n_repeat_words,
+         [{", ".join(_COUNT(c) for c in _INSIDE)}] AS named
+  FROM d LEFT JOIN again USING (rid) LEFT JOIN lines USING (rid)),
+based AS MATERIALIZED (
+  SELECT * EXCLUDE (named, t), len(t) AS n_chars,
+         n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         [x / greatest(len(t), 1) FOR x IN list_append(named, len(t) - list_sum(named))] AS shares,
+         len(t) > 0 AS filled
+  FROM measured),
+sound AS (SELECT g, rid, shares FROM based WHERE NOT base_failed),
+units AS (SELECT g, rid, unnest(range({quality.N_CLASSES})) AS i,
+                 CAST(floor(unnest(shares) * {quality.SHARE}) AS BIGINT) AS s FROM sound),
+first_means AS (SELECT g, i, sum(s) / (count(*) * {quality.SHARE}.0::DOUBLE) AS m FROM units GROUP BY g, i),
+first AS (SELECT g, list(m ORDER BY i) AS reference FROM first_means GROUP BY g),
+steps AS (SELECT s.g, rid, floor({_JS.format(p="shares", q="reference")} * {quality.STEPS}) AS step
+          FROM sound s JOIN first f ON s.g = f.g),
+medians AS (SELECT g, min(step) AS median FROM (
+  SELECT g, step, count(*) OVER (PARTITION BY g ORDER BY step) AS upto, count(*) OVER (PARTITION BY g) AS n
+  FROM steps) WHERE upto * 2 >= n GROUP BY g),
+near AS (SELECT s.rid FROM steps s JOIN medians m ON s.g = m.g WHERE step <= median),
+second_means AS (SELECT g, i, sum(s) / (count(*) * {quality.SHARE}.0::DOUBLE) AS m, count(*) AS n
+                 FROM units WHERE rid IN (SELECT rid FROM near) GROUP BY g, i),
+reference AS (SELECT g, list(m ORDER BY i) AS reference FROM second_means WHERE n >= {quality.LEAST_DOCS} GROUP BY g),
+term AS (SELECT rid, g, x, {quality.SHARE} // len(terms) AS s, len(terms) AS n
+         FROM (SELECT rid, g, terms, unnest(terms) AS x FROM based)),
+ranked AS (SELECT g, x, sum(s) AS s, row_number() OVER (PARTITION BY g ORDER BY sum(s) DESC, x) AS rank
+           FROM term GROUP BY g, x),
+top AS MATERIALIZED (SELECT r.g, x, rank, s / (n * {quality.SHARE}.0::DOUBLE) AS share
+        FROM ranked r JOIN (SELECT g, greatest(count(*) FILTER (filled), 1) AS n FROM based GROUP BY g) sizes
+          ON r.g = sizes.g WHERE rank <= {quality.COMMON_WORDS}),
+lists AS (SELECT g, list(share ORDER BY rank) AS q FROM top GROUP BY g),
+found AS (SELECT rid, rank, count(*) / any_value(n) AS p FROM term JOIN top ON term.g = top.g AND term.x = top.x
+          GROUP BY rid, rank),
+words AS (SELECT rid, map_from_entries(list((rank, p))) AS ps FROM found GROUP BY rid),
+pairs AS (SELECT b.rid, len(terms) AS n, list_append(q, greatest(1 - list_sum(q), 0)) AS q,
+                 [coalesce(ps[i], 0) FOR i IN range(1, len(q) + 1)] AS p
+          FROM based b JOIN lists l ON b.g = l.g LEFT JOIN words ON words.rid = b.rid
+          WHERE len(terms) >= {quality.LEAST_WORDS_COMMON}),
+apart AS (SELECT rid, {_JS.format(p="list_append(p, 1 - list_sum(p))", q="q")}
+            > {quality.WORD_MARGIN} + {_CHANCE.format(bins="len([x FOR x IN q IF x > 0])", n="n")} AS far FROM pairs)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (reference IS NULL OR NOT (coalesce(far, false)
+         OR {_JS.format(p="shares", q="reference")}
+            > {quality.CLASS_MARGIN} + {_CHANCE.format(bins="len([x FOR x IN reference IF x >= 0.001])", n="n_chars")}))
+       AS kept
+FROM based b LEFT JOIN reference r ON b.g = r.g LEFT JOIN apart a ON a.rid = b.rid""",
 }
