@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palmyra.llm import (decontaminate, fingerprint, merkle, mixing, ngram_join, pii,
-                         quality, secret_scan, sharding, token_store, toxicity, warc)
+from palmyra.llm import (collocations, decontaminate, fingerprint, merkle, mixing, ngram_join,
+                         pii, quality, secret_scan, sharding, token_store, toxicity, warc)
 from palmyra.llm.common import prepare_workers
 from palmyra.sources.writers import scratch_path
 
@@ -111,6 +111,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select(
@@ -286,6 +291,35 @@ FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
 JOIN above r ON len(r.nodes) = 1
 JOIN ends e ON e.lang IS NOT DISTINCT FROM p.lang AND e.pos = p.pos
 LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.pos = p.pos""",
+    "op12_phrase_collocations": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest([w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)]) AS g
+  FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT * FROM f WHERE k > 1 AND f >= {collocations.LEAST}),
+parts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+cuts AS (
+  SELECT p.lang, p.k, p.g, p.f AS a, cut, l.f AS l, r.f AS r,
+         CAST((1000000::HUGEINT * p.f * p.f) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM parts p JOIN f l ON l.lang = p.lang AND l.g = p.g[1:cut]
+  JOIN f r ON r.lang = p.lang AND r.g = p.g[cut + 1:p.k]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inner_pairs AS (SELECT lang, unnest([g[1:2], g[2:3]]) AS g, f FROM candidates WHERE k = 3),
+covers AS (SELECT lang, g, max(f) AS f FROM inner_pairs GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN covers c ON c.lang = b.lang AND c.g = b.g
+  WHERE c.f IS NULL OR 100 * c.f < {collocations.INSIDE} * b.a),
+ranked AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang)
+WHERE rank <= {collocations.TOP}""",
     "op13_quality_rules": f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS g, coalesce(text, '') AS t,
