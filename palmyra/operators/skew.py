@@ -24,19 +24,24 @@ def has_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str], tasks: int, part: int = PART) -> DataFrame:
+def hot_keys(rows: DataFrame, on: Sequence[str], tasks: int, part: int = PART,
+             counts: DataFrame | None = None) -> DataFrame:
     """(keys, _parts) of the keys that hold more than ``1 / (part * tasks)`` of the rows;
-    so at most ``part * tasks`` of them. Counted with partial aggregates; lazy."""
-    counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    so at most ``part * tasks`` of them. Counted with partial aggregates unless
+    ``counts`` (keys, _rows) is known; lazy."""
+    if counts is None:
+        counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     share = F.lit(part * tasks) * F.col("_rows") / counts.select(F.sum("_rows")).scalar()
     return counts.withColumn("_parts", F.ceil(share)).where("_parts > 1").select(*on, "_parts")
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", *,
-                tasks: int | None = None, hot_left: bool = True) -> DataFrame:
+                tasks: int | None = None, hot_left: bool = True,
+                counts: DataFrame | None = None) -> DataFrame:
     """``left.join(right, on, how)`` (left, inner, left_semi or left_anti), whatever the
     keys of ``left``. ``right`` should have few rows of each hot key, as they are
-    replicated; ``hot_left=False`` only takes null keys round the join.
+    replicated; ``hot_left=False`` only takes null keys round the join. ``counts`` (keys,
+    _rows), if known, spares counting the keys of ``left``.
 
     Rows are dealt by a hash of themselves and of the task that holds them, so a task
     that runs again deals them alike."""
@@ -47,7 +52,7 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     other = right.where(~has_null(on))
     if hot_left:
         tasks = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot = F.broadcast(hot_keys(rows, on, tasks))
+        hot = F.broadcast(hot_keys(rows, on, tasks, counts=counts))
         dealt = F.xxhash64(*rows.columns, F.spark_partition_id())
         rows = (rows.join(hot, on, "left")
                 .withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(dealt, "_parts"))
