@@ -8,8 +8,9 @@ writing task makes one file of responses and requests, and one of metadata.
 row a capture.
 
 Cases: a null or empty payload is an empty response; payloads of fewer than
-``min_revisit_bytes`` are never deduplicated; rows repeating key and payload
-are one capture; a null key is kept (as null) and is never the first of its
+``min_revisit_bytes`` are never deduplicated; rows repeating key and payload are a
+capture each, and all responses if they have the payload's smallest key (revisits name
+the first of them); a null key is kept (as null) and is never the first of its
 payload while another key is there; an empty table gives empty archives; a
 record whose capture has no response gives a row without one.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palmyra.llm import files
+from palmyra.operators.skew import spread_join
 from palmyra.sources.writers import cut_lineage
 
 #: Payloads of fewer bytes are always stored.
@@ -38,31 +40,53 @@ RECORD = ("record_type string, record_id string, concurrent_to array<string>, re
           "fields map<string,string>")
 
 
-def record_id(kind: str, key, digest: str) -> str:
+def record_id(kind: str, key, digest: str, copy: int = 0) -> str:
     """Depends on the row alone, so that a task that runs again, and a revisit
-    written elsewhere, name the same record."""
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{kind}:{key}:{digest}')}>"
+    written elsewhere, name the same record. ``copy`` tells repeated rows apart."""
+    name = f"{kind}:{key}:{digest}" + (f":{copy}" if copy else "")
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, name)}>"
 
 
 def plan_captures(pages: DataFrame, key: str, uri: str, body: str,
                   min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """key, uri, payload, digest and ``first``: the smallest key with the same
-    payload where it is long enough, else null.
+    """key, uri, payload, digest, copy (0, or another number for each further row of the
+    same key and payload) and ``first``: the smallest key with the same payload where
+    that is long enough, else null.
 
-    The first of each payload is a minimum by digest, partly aggregated before
-    its shuffle, and only payloads that come more than once are joined back.
-    Short payloads get a key of their own, so no null key gathers them.
+    Keys are counted per payload without the payloads. Only payloads that come more than
+    once are joined back: short ones have a null join key and go round the join, and the
+    rows of a frequent one are dealt over several tasks.
     """
     rows = (pages.select(F.col(key).cast("long").alias("key"), F.col(uri).alias("uri"),
                          F.coalesce(F.col(body), F.lit("")).cast("binary").alias("payload"))
             .withColumn("digest", F.sha2("payload", 256)))
     long_enough = F.octet_length("payload") >= min_revisit_bytes
-    shared = (rows.where(long_enough).groupBy("digest")
-              .agg(F.min("key").alias("first"), F.count("*").alias("n"))
-              .where("n > 1").select(F.col("digest").alias("join_key"), "first"))
-    own = F.concat(F.lit("short:"), F.coalesce(F.col("key").cast("string"), F.lit("")))
-    return (rows.withColumn("join_key", F.when(long_enough, F.col("digest")).otherwise(own))
-            .join(shared, "join_key", "left").drop("join_key"))
+    each = cut_lineage(rows.select("key", "digest", long_enough.alias("long")).groupBy("key", "digest", "long")
+                       .agg(F.count("*").alias("n")), "capture-keys")
+    shared = (each.where("long").groupBy(F.col("digest").alias("join_key"))
+              .agg(F.min("key").alias("first"), F.sum("n").alias("_rows")).where("_rows > 1"))
+    numbered = _copies(rows, each.where("n > 1"))
+    return spread_join(numbered.withColumn("join_key", F.when(long_enough, F.col("digest"))),
+                       shared.drop("_rows"), ["join_key"],
+                       counts=shared.drop("first")).drop("join_key")
+
+
+def _copies(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Number the rows that repeat key and payload. They are written first, which fixes
+    the row numbers; without any, which is the rule, nothing is joined or written."""
+    if not repeated.limit(1).count():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    pair = F.concat(F.col("digest"), F.lit(":"), F.coalesce(F.col("key").cast("string"), F.lit("")))
+    counts = repeated.select(pair.alias("pair"), F.col("n").alias("_rows"))
+    named = rows.withColumn("pair", pair)
+    again = cut_lineage(spread_join(named, counts.select("pair"), ["pair"], "left_semi", counts=counts)
+                        .withColumn("row", F.monotonically_increasing_id()), "capture-copies")
+    lowest = again.groupBy("pair").agg(F.min("row").alias("lowest"))
+    again = spread_join(again, lowest, ["pair"], counts=counts).withColumn(
+        "copy", F.when(F.col("row") == F.col("lowest"), 0).otherwise(F.col("row") + 1))
+    once = spread_join(named, counts.select("pair"), ["pair"], "left_anti", counts=counts)
+    return once.withColumn("copy", F.lit(0).cast("long")).unionByName(
+        again.drop("row", "lowest")).drop("pair")
 
 
 def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -81,7 +105,7 @@ def _capture(row, date: str) -> tuple[bytes, bytes, bytes]:
     uri = (row.uri or "").replace("\r", "").replace("\n", "")
     first = None if pd.isna(row.first) else int(row.first)
     revisit = first is not None and key != first
-    own = record_id("revisit" if revisit else "response", key, row.digest)
+    own = record_id("revisit" if revisit else "response", key, row.digest, row.copy)
     common = [("WARC-Target-URI", uri), ("WARC-Date", date)]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", own),
@@ -93,12 +117,12 @@ def _capture(row, date: str) -> tuple[bytes, bytes, bytes]:
     response = _record(headers, http if revisit else http + row.payload)
     path = "/" + uri.partition("://")[2].partition("/")[2]
     request = _record([("WARC-Type", "request"), ("WARC-Concurrent-To", own), *common,
-                       ("WARC-Record-ID", record_id("request", key, row.digest)),
+                       ("WARC-Record-ID", record_id("request", key, row.digest, row.copy)),
                        ("Content-Type", "application/http; msgtype=request")],
                       f"GET {path} HTTP/1.1\r\n\r\n".encode())
     facts = {"key": "" if key is None else key, "payload-bytes": len(row.payload)}
     metadata = _record([("WARC-Type", "metadata"), ("WARC-Concurrent-To", own), *common,
-                        ("WARC-Record-ID", record_id("metadata", key, row.digest)),
+                        ("WARC-Record-ID", record_id("metadata", key, row.digest, row.copy)),
                         ("Content-Type", "application/warc-fields")], _fields(facts))
     return response, request, metadata
 
@@ -127,7 +151,7 @@ def write_captures(plan: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z"
             yield pd.DataFrame({"data": [f"{name}.warc.gz"], "meta": [f"{name}.meta.warc.gz"],
                                 "n_captures": [n]})
 
-    return files.commit(plan.select("key", "uri", "payload", "digest", "first")
+    return files.commit(plan.select("key", "uri", "payload", "digest", "copy", "first")
                         .mapInPandas(write, MANIFEST), out)
 
 
@@ -249,5 +273,6 @@ def captured_pages(spark: SparkSession, pages: DataFrame, out: str, key: str = "
                .select(F.col("capture_id").alias("response_id"), F.col(key).alias("refers_to")))
     stored = flat.where("record_type = 'response'").withColumn("refers_to",
                                                                F.lit(None).cast("long"))
-    again = flat.where("record_type = 'revisit'").join(targets, "response_id", "left")
+    # Many revisits may refer to one response.
+    again = spread_join(flat.where("record_type = 'revisit'"), targets, ["response_id"])
     return stored.unionByName(again).drop("capture_id", "response_id")

@@ -34,9 +34,22 @@ def test_responses_and_revisits(spark):
 
 
 def test_null_key_and_repeated_rows(spark):
-    got = rows_of(spark, [(None, "u", LONG), (7, "u", LONG), (7, "u", LONG)])
-    assert sorted((str(r.page_id), r.record_type, r.refers_to) for r in got) == [
-        ("7", "response", None), ("None", "revisit", 7)]
+    """A record and a row for every row given."""
+    got = rows_of(spark, [(None, "u", LONG), (7, "u", LONG), (7, "u", LONG), (7, "u", LONG + "?"), (9, "v", LONG),
+                          (9, "v", LONG), (3, None, None), (3, None, None), (None, None, ""), (None, None, "")])
+    assert sorted((str(r.page_id), r.record_type, r.refers_to, r.payload_bytes) for r in got) == [
+        ("3", "response", None, 0), ("3", "response", None, 0), ("7", "response", None, 336),
+        ("7", "response", None, 336), ("7", "response", None, 337), ("9", "revisit", 7, 336),
+        ("9", "revisit", 7, 336), ("None", "response", None, 0), ("None", "response", None, 0),
+        ("None", "revisit", 7, 336)]
+
+
+def test_many_copies_of_one_page(spark):
+    rows = [(i // 50, "u", LONG) for i in range(500)] + [(1000 + i, "v", f"{LONG}{i}") for i in range(100)]
+    got = rows_of(spark, rows)
+    assert len(got) == 600
+    assert sum(r.record_type == "response" for r in got) == 150
+    assert all(r.refers_to == 0 for r in got if r.record_type == "revisit")
 
 
 def test_empty_table(spark):
