@@ -18,7 +18,8 @@ themselves decide, not their hashes.
 
 Cases: null and empty texts have no words; repeated items each count under their
 own id; rows of one document id are judged on their own; empty tables give no
-hits; null item ids are left out of n_items and the digest.
+hits; the windows of items without an id are hit like any other, but such items are
+neither counted nor listed.
 """
 
 from __future__ import annotations
@@ -109,8 +110,7 @@ def item_fingerprints(items: DataFrame, id_col: str, text_col: str, window: int,
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, _ITEM_TYPES)],
                 names=["item", "h", "k", "left", "right"])
 
-    return (items.where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    return (items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
             .mapInArrow(run, f"item string, {FINGERPRINT}"))
 
 
@@ -202,7 +202,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     scanned, spans = hit_spans(docs, items, id_col, text_col, item_col, item_text, window, gram)
     hit = (spans.select("row", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("at"))
            .distinct().groupBy("row").agg(F.count("*").alias("n_hit")))
-    found = (spans.select("row", "item").distinct().groupBy("row")
+    found = (spans.where("item IS NOT NULL").select("row", "item").distinct().groupBy("row")
              .agg(F.array_sort(F.collect_list("item")).alias("items")))
     none = F.array().cast("array<string>")
     return (scanned.select("row", "id", "n_words").join(hit, "row", "left")

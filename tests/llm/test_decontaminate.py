@@ -12,10 +12,12 @@ def check(spark, docs, items):
     b = spark.createDataFrame(items, "item_id string, text string")
     got = sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r["items"]), r.contaminated)
                  for r in decontaminate.contamination(d, b).collect())
-    given = {k: v for k, v in items if k is not None}
+    # Items without an id hit words, but are not listed.
+    given = {(n, k): v for n, (k, v) in enumerate(items)}
     want = []
     for i, t in docs:
         hit, found = contaminated_words(t, given)
+        found = {k for _, k in found if k is not None}
         want.append((str(i), len(words(t)), len(hit), tuple(sorted(found)), bool(hit)))
     assert got == sorted(want)
 
@@ -54,6 +56,13 @@ def test_rare_words(spark):
     check(spark, docs, items)
 
 
+def test_only_items_without_an_id(spark):
+    check(spark, [(1, "a b c d"), (2, "a c")], [(None, "b c"), (None, "b c"), (None, None)])
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a c")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "b c")], "item_id string, text string")
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, items).collect()] == [2]
+
+
 def test_empty_tables(spark):
     check(spark, [], [("i", "a b c")])
     check(spark, [(1, "a b c")], [])
