@@ -32,11 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palmyra.llm.common import (bloom_has, bloom_of, connected_components, give_back, mix64,
                                 row_keys, shingle_sets)
+from palmyra.operators.skew import spread_join
 from palmyra.sources.writers import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -49,8 +50,11 @@ BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
 #: Bits of the filter on member texts, whatever their number (8 MB).
 BLOOM_BITS = 1 << 26
-#: Sorts after every id; stands for a null one.
-NULL_ID = (1 << 63) - 1
+#: Ids are carried as decimals, so that a null one can stand after all of them.
+ID = "decimal(20,0)"
+NULL_ID = 1 << 63
+#: Texts with a word.
+HAS_WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
 SEED = 20_240_229
 
 
@@ -88,7 +92,7 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
               words: int = SHINGLE_WORDS) -> DataFrame:
     """(row, id, text_key, set_key, n, bands) of each row; set_key, a 128-bit hash
     of the set, is null without words."""
-    schema = "row long, id long, text_key long, set_key binary, n int, bands array<long>"
+    schema = f"row long, id {ID}, text_key long, set_key binary, n int, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -118,10 +122,13 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
     return _keyed(docs, id_col, text_col).mapInArrow(run, schema)
 
 
+def _id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long").cast(ID), F.lit(str(NULL_ID)).cast(ID))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, text); rows of one id and different texts have two keys."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    return docs.select(_id(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
 
 
 def _maybe(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
@@ -291,10 +298,12 @@ def clusters_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, r
     reps = classes.select(F.col("row").alias("node"), F.col("rep").alias("rep_id"))
     named = (clusters.join(reps, "node").groupBy("label")
              .agg(F.min(F.struct("rep_id", "node")).alias("first")))
+    # Only the nodes of clusters meet their cluster's first; a class that is similar to
+    # nothing has none.
+    firsts = spread_join(clusters, named, ["label"], "inner").select(F.col("node").alias("row"), "first")
     found = (classes
              .join(links.withColumnRenamed("id", "row"), "row", "left")
-             .join(clusters.select(F.col("node").alias("row"), "label"), "row", "left")
-             .join(named, "label", "left")
+             .join(firsts, "row", "left")
              .select("set_key", F.coalesce("first.rep_id", "rep").alias("class_id"),
                      F.coalesce("first.node", "row").alias("keeper"), "rep", "copies",
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
@@ -316,7 +325,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shingle set), n_copies (documents with that set) and n_links (other
     documents at or above the threshold, those with the same set included)."""
     def shown(c):
-        return F.when(F.col(c) != NULL_ID, F.col(c))
+        return F.when(F.col(c) != F.lit(str(NULL_ID)).cast(ID), F.col(c).cast("long"))
 
     return clusters_of(docs, id_col, text_col, threshold, recall, words).select(
         shown("id").alias(id_col), shown("class_id").alias("class_id"),
@@ -327,11 +336,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
              words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` without near copies: of each cluster the document of the
-    smallest id stays, with all its columns."""
-    kept = (clusters_of(docs, id_col, text_col, threshold, recall, words)
+    smallest id stays, with all its columns. Rows without words all stay."""
+    wordy = F.coalesce(F.col(text_col).rlike(HAS_WORD), F.lit(False))
+    kept = (clusters_of(docs.where(wordy), id_col, text_col, threshold, recall, words)
             .where("row = keeper").select("id", "text_key"))
-    whole = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-                        F.xxhash64(F.col(text_col)).alias("text_key"), F.struct("*").alias("doc"))
+    whole = docs.where(wordy).select(_id(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_key"),
+                                     F.struct("*").alias("doc"))
     key = ["id", "text_key"]
     # Rows that repeat id and text would both match their keeper.
-    return whole.join(kept, key, "left_semi").dropDuplicates(key).select("doc.*")
+    first = whole.join(kept, key, "left_semi").dropDuplicates(key).select("doc.*")
+    return first.unionByName(docs.where(~wordy))

@@ -39,6 +39,37 @@ def test_against_brute_force(spark):
     check(spark, rows)
 
 
+def test_extreme_and_null_ids_are_told_apart(spark):
+    top = 2**63 - 1
+    check(spark, [(top, "one two"), (None, "one two"), (None, "other"), (-2**63, "x y"), (top, None)])
+    got = {r.doc_id for r in ngram_join.jaccard_join(spark.createDataFrame(
+        [(top, "solo"), (None, "none")], "doc_id long, text string")).collect()}
+    assert got == {top, None}
+
+
+def test_rows_without_words_all_stay(spark):
+    rows = [(4, "!!"), (4, "!!"), (None, ""), (None, ""), (None, None), (5, "word"), (5, "word"), (6, "WORD!")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, row long")
+    got = sorted(str((r.doc_id, r.text)) for r in ngram_join.keep_one(docs).collect())
+    assert got == sorted(str(r) for r in [*rows[:5], (5, "word")])
+
+
+def test_most_classes_are_similar_to_nothing(spark):
+    """They have no cluster, and must not meet in one task for want of a label."""
+    from pyspark.sql import functions as F
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(
+            " ", *(F.sha2(F.concat_ws(" ", "id", F.lit(i)), 256) for i in range(6))).alias("text"))
+        got = ngram_join.jaccard_join(docs).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+        assert sum(r.n for r in got) == 3000 and max(r.n for r in got) <= 2 * 3000 / len(got)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
     """More classes than a block: every link between different texts counts."""
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 90)
