@@ -48,7 +48,9 @@ SAMPLE_DOCS = 512
 SAMPLE_CHARS = 20_000
 #: Pieces that a Python worker remembers.
 CACHE_PIECES = 2_000_000
-NULL_ID = -(1 << 63)
+#: Index entry of a document without an id: the least id, and this bit of its length.
+LEAST_ID = -(1 << 63)
+NO_ID = 1 << 31
 INDEX = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u4")])
 MANIFEST = ("shard int, bin string, idx string, n_docs long, n_tokens long, "
             "first_doc long, last_doc long")
@@ -226,7 +228,10 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str | None = None, end_id
                 frame = squeeze.compress(serialized)
                 sink.write(frame)
                 doc = ids[i].as_py()
-                index.append((NULL_ID if doc is None else doc, at, len(frame),
+                if len(frame) >= NO_ID:
+                    raise ValueError(f"the frame of document {doc} is longer than an index entry can say")
+                index.append((LEAST_ID if doc is None else doc, at,
+                              len(frame) | (NO_ID if doc is None else 0),
                               len(serialized) // enc.width))
                 at += len(frame)
         if sink is None:
@@ -287,7 +292,8 @@ def _documents(src, expand, entries: np.ndarray, start: int, dtype: np.dtype, di
     for lo in range(0, len(entries), step):
         part = entries[lo:lo + step]
         crcs, ids = [], []
-        for length, n in zip(part["length"].tolist(), part["n_tokens"].tolist()):
+        lengths = part["length"] & np.uint32(NO_ID - 1)
+        for length, n in zip(lengths.tolist(), part["n_tokens"].tolist()):
             values = np.frombuffer(expand.decompress(src.read(length)), dtype=dtype)
             if len(values) != n:
                 raise ValueError("a frame and its index entry differ in length")
@@ -295,10 +301,10 @@ def _documents(src, expand, entries: np.ndarray, start: int, dtype: np.dtype, di
             crcs.append(zlib.crc32(wide.tobytes()))
             ids.append(wide.astype(np.int32))
         counts = part["n_tokens"].astype(np.int64)
-        doc = pd.Series(part["doc_id"].astype(object)).where(part["doc_id"] != NULL_ID, None)
+        doc = pd.Series(part["doc_id"].astype(object)).where(part["length"] < NO_ID, None)
         out = {"doc_id": doc.astype("Int64"), "start": start + np.cumsum(counts) - counts,
                "n_tokens": counts, "ids_crc32": np.array(crcs, dtype=np.int64),
-               "frame_bytes": part["length"].astype(np.int64), "dictionary_sha256": sha}
+               "frame_bytes": lengths.astype(np.int64), "dictionary_sha256": sha}
         if with_ids:
             out["ids"] = ids
         start += int(counts.sum())
@@ -328,5 +334,6 @@ def read_document(spark: SparkSession, out: str, doc_id: int,
 
 
 def _entries_of(entries: np.ndarray, doc_id: int) -> Iterable[np.void]:
-    a, b = np.searchsorted(entries["doc_id"], [doc_id, doc_id + 1])
-    return entries[a:b]
+    a = np.searchsorted(entries["doc_id"], doc_id)
+    b = np.searchsorted(entries["doc_id"], doc_id, side="right")
+    return [e for e in entries[a:b] if e["length"] < NO_ID]

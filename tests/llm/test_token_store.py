@@ -51,6 +51,16 @@ def test_one_document_by_its_index(spark, store):
     assert token_store.read_document(spark, store, 5) == []
 
 
+def test_the_least_id_is_no_missing_one(spark):
+    docs = spark.createDataFrame([(None, "none"), (-2**63, "least"), (2**63 - 1, "most")], "doc_id long, text string")
+    out = scratch_path(spark, "test-tokens-ids")
+    token_store.write_tokens(docs, out)
+    assert [r.doc_id for r in token_store.read_tokens(spark, out).orderBy("start").collect()] == [
+        None, -2**63, 2**63 - 1]
+    assert len(token_store.read_document(spark, out, -2**63)) == 1
+    assert len(token_store.read_document(spark, out, 2**63 - 1)) == 1
+
+
 def test_another_dictionary_is_refused(spark, store):
     files.write_bytes(f"{store}/dictionary.bak", files.read_bytes(f"{store}/dictionary"))
     files.write_bytes(f"{store}/dictionary", b"")
