@@ -177,7 +177,7 @@ def _counted(counts: Counter, step: int = 20_000) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows[i:i + step], columns=["e", "n"])
 
 
-def learn_lexicon(sample: DataFrame) -> Lexicon:
+def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
     """From (toxic, text): first what is frequent in toxic rows, then how often that
     comes in the others. Tasks count by themselves before the counts meet."""
     def counter(only: set[str] | None):
@@ -197,7 +197,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     rows = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     least = max(LEAST_ROWS, math.ceil(LEAST_SHARE * rows.get(1, 0)))
     top = (counter(None)(sample.where("toxic = 1")).where(F.col("n") >= least)
-           .orderBy(F.desc("n"), "e").limit(LEXICON_SIZE).collect())
+           .orderBy(F.desc("n"), "e").limit(size).collect())
     if not top:
         return Lexicon()
     other = {r.e: r.n for r in counter({r.e for r in top})(sample.where("toxic = 0")).collect()}
@@ -241,19 +241,24 @@ def _probability(trees: GBTClassificationModel, table: DataFrame, *keep: str) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
+          label_col: str = "toxic", train_rows: int = TRAIN_ROWS,
+          lexicon_size: int = LEXICON_SIZE) -> Model:
+    """Fit on at most ``train_rows`` labelled rows of ``docs`` (rows that repeat an id count
+    each), with a lexicon of at most ``lexicon_size`` learnt entries, the most frequent."""
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
               .where(F.col("toxic").isin(0, 1) & (fold(F.col("id")) != 0))
               .orderBy(F.xxhash64("id"), "toxic").limit(train_rows))
     # At most ``train_rows`` ids of 8 bytes: a proven bound for the broadcast.
-    sample = cut_lineage(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(marked), "id").withColumn("fold", fold(F.col("id"))), "toxic-sample")
+    labelled = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+                .join(F.broadcast(marked), "id").withColumn("fold", fold(F.col("id"))))
+    # Ids may repeat, in either table.
+    sample = cut_lineage(labelled.orderBy(F.xxhash64("id"), "toxic", F.xxhash64("text"), "id")
+                         .limit(train_rows), "toxic-sample")
     fit = sample.where("fold <> 4")
     both = fit.agg(F.countDistinct("toxic")).first()[0]
     if both < 2:
         return Model(Lexicon())
-    lexicon = learn_lexicon(fit)
+    lexicon = learn_lexicon(fit, lexicon_size)
     table = cut_lineage(with_features(sample, lexicon).select("row.toxic", "row.fold", "_f"),
                         "toxic-features")
     rows = table.where("fold <> 4").select("toxic", array_to_vector("_f").alias("_v"))

@@ -55,6 +55,57 @@ def test_held_out_labels_are_not_learnt(spark, trained):
         model.trees.uid, again.trees.uid)
 
 
+def test_repeated_ids_do_not_enlarge_the_fit(spark, trained, monkeypatch):
+    """The bound on the fit holds after the join, and the choice does not hang on row order."""
+    docs, marks, _, _ = trained
+    seen = []
+    cut = toxicity.cut_lineage
+    monkeypatch.setattr(toxicity, "cut_lineage", lambda df, name: seen.append(cut(df, name)) or seen[-1])
+    many = docs.unionByName(docs).unionByName(docs.withColumn("_f", F.lit(1)).drop("_f"))
+    toxicity.train(many, marks, train_rows=300)
+    toxicity.train(many.repartition(7), marks, train_rows=300)
+    first, second = [s for s in seen if "fold" in s.columns and "text" in s.columns]
+    assert first.count() == 300
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
+
+
+def by_hand(text, fixed, person):
+    """Densities, capitals and marks counted one character and word at a time."""
+    words, word = [], ""
+    for c in (text + " ").lower():
+        if c.isalnum():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    n = max(len(words), 1)
+    hits = [i for i, w in enumerate(words) if w in fixed]
+    at = [i for i, w in enumerate(words) if w in person]
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in at) for i in hits)
+    upper = sum("A" <= c <= "Z" for c in text)
+    letters = upper + sum("a" <= c <= "z" for c in text) + sum(b >= 0xC0 for b in text.encode())
+    marks = sum(32 < ord(c) < 48 or 57 < ord(c) < 65 for c in text)
+    return {"fixed_hits": len(hits), "fixed_density": len(hits) / n, "distinct_hits": len({words[i] for i in hits}),
+            "second_person": len(at) / n, "near_second_person": near / n, "capitals": upper / max(letters, 1),
+            "marks": marks / max(len(text), 1), "exclaims": text.count("!") / max(len(text), 1),
+            "questions": text.count("?") / max(len(text), 1)}
+
+
+def test_features_and_split_against_plain_python(spark):
+    rng = random.Random(8)
+    vocabulary = [*PROSE, "idiot", "you", "Scum", "Your", "été", "MORON", "du", "a1", "x"]
+    texts = ["".join(w + rng.choice([" ", ", ", "! ", "\n", "? ", "-"]) for w in rng.choices(vocabulary, k=k))
+             for k in (1, 2, 5, 30, 200, 3000)] + ["!", "   ", "É"]
+    marks = toxicity._Marks(toxicity.Lexicon())
+    for text in texts:
+        got = dict(zip(toxicity.FEATURES, toxicity.features(text, marks)))
+        for name, value in by_hand(text, toxicity.INSULTS, toxicity.SECOND_PERSON).items():
+            assert got[name] == pytest.approx(value), (name, text[:60])
+    ids = [0, 1, 5, -3, 2**40, None]
+    folds = spark.createDataFrame([(i,) for i in ids], "i long").select("i", toxicity.fold(F.col("i")).alias("f")).collect()
+    assert all(r.f == zlib.crc32(("" if r.i is None else str(r.i)).encode()) % 5 for r in folds)
+
+
 def test_invented_insult_is_learnt_as_a_beginning(trained):
     assert "zwurk" in trained[3].lexicon.stems
 
