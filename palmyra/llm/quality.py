@@ -279,10 +279,11 @@ def class_reference(measured: DataFrame) -> DataFrame:
         "grp", "shares", F.floor(_distance(F.col("shares"), F.col("reference")) * STEPS).alias("step"))
     # At most STEPS + 1 rows a language, however many documents it has.
     upto = Window.partitionBy("grp").orderBy("step")
-    median = (near.groupBy("grp", "step").agg(F.count("*").alias("m"))
+    median = cut_lineage(near.groupBy("grp", "step").agg(F.count("*").alias("m"))
               .withColumn("upto", F.sum("m").over(upto))
               .withColumn("all", F.sum("m").over(Window.partitionBy("grp")))
-              .where(F.col("upto") * 2 >= F.col("all")).groupBy("grp").agg(F.min("step").alias("median")))
+              .where(F.col("upto") * 2 >= F.col("all")).groupBy("grp").agg(F.min("step").alias("median")),
+              "quality-median")
     return _mean(near.join(median, "grp").where("step <= median"))
 
 
