@@ -56,10 +56,10 @@ TOP = 2_000
 #: Per cent of a phrase's occurrences that a longer one must hold to replace it.
 INSIDE = 50
 #: Suffixes of a group, while that needs no more than MAX_GROUPS groups.
-BUDGET = 2_000_000
+BUDGET = 1_000_000
 MAX_GROUPS = 1 << 18
 #: Positions that are sorted together before they are sent.
-SLICE = 1 << 20
+SLICE = 1 << 20      # their words are numbered in 21 bits
 BLOOM_BITS = 1 << 26
 #: Longer words are always hashed by the second function.
 LONG_WORD = 256
@@ -120,18 +120,29 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def count_words(rows: DataFrame, attempt: int) -> DataFrame:
-    """(grp, word, h, n) of every word of every language."""
+    """(grp, word, h, n) of every word of every language. A task hands on each word once
+    a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hashes, counts, places, texts = [], [], [], []
             for w, langs in _runs(batch):
                 word, at, n = np.unique(hashes_of(w, langs, attempt), return_index=True,
                                         return_counts=True)
                 row = np.searchsorted(w.first, at, side="right") - 1 + w.lo
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs[i] for i in row], pa.string()),
-                     pa.array([w.data[a:b].tobytes().decode("utf-8", "replace")
-                               for a, b in zip(w.starts[at], w.ends[at])], pa.string()),
-                     _signed(word), pa.array(n.astype(np.int64))], names=["grp", "word", "h", "n"])
+                hashes.append(word)
+                counts.append(n)
+                places.append(np.stack([np.full(len(at), len(texts)), w.starts[at], w.ends[at], row], axis=1))
+                texts.append(w.data)
+            if not hashes:
+                continue
+            word, at, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            n = np.bincount(back, np.concatenate(counts), minlength=len(word)).astype(np.int64)
+            place = np.concatenate(places)[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[i] for i in place[:, 3].tolist()], pa.string()),
+                 pa.array([texts[t][a:b].tobytes().decode("utf-8", "replace")
+                           for t, a, b, _ in place.tolist()], pa.string()),
+                 _signed(word), pa.array(n)], names=["grp", "word", "h", "n"])
         give_back()
 
     return (rows.mapInArrow(run, "grp string, word string, h long, n long")
@@ -169,33 +180,65 @@ class Plan:
         bits = max(int(len(self.group)).bit_length() - 1, 0)
         return self.group[(key >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)]
 
-    def suffixes(self, w: Words, langs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(h1, h2, h3) of the positions whose word occurs often enough; 0 beyond the end
-        of the piece, or of such words."""
-        h = hashes_of(w, langs, self.attempt)
-        h[~bloom_has(np.frombuffer(self.frequent, dtype=U64), h)] = 0
-        on = _goes_on(w)
-        after = np.zeros_like(h)
-        after[:-1] = np.where(on[:-1], h[1:], 0)
-        third = np.zeros_like(h)
-        third[:-1] = np.where(on[:-1] & (after[:-1] != 0), after[1:], 0)
-        keep = h != 0
-        return h[keep], after[keep], third[keep]
+    def leaves(self, h: np.ndarray, on: np.ndarray, only_heavy: bool = False) -> tuple[np.ndarray, ...]:
+        """(h1, h2, h3, n): suffixes of the positions, each once with its count, but for
+        the last two, which are there for those before them. Words that occur too rarely
+        end a suffix (0), and none begins with them. ``only_heavy``: just two words, of
+        prefixes beyond the budget."""
+        word, code = np.unique(h, return_inverse=True)
+        often = bloom_has(np.frombuffer(self.frequent, dtype=U64), word)
+        word = np.concatenate([np.zeros(1, U64), word[often]])
+        code = np.where(often, np.cumsum(often), 0)[code]       # below 2 ** 21: see SLICE
+        after = np.zeros_like(code)
+        after[:-1] = np.where(on[:-1], code[1:], 0)
+        third = np.zeros_like(code)
+        third[:-1] = np.where(after[:-1] > 0, after[1:], 0)
+        c1, c2, c3 = code[:-2], after[:-2], third[:-2]
+        heavy = _among(self.heavy, word)[c1]
+        if only_heavy:
+            keep, c3 = heavy & (c2 > 0), np.zeros_like(c3)
+        else:
+            # A prefix beyond the budget has its total already: its ends count for nothing.
+            keep = (c1 > 0) & ~(heavy & (c2 == 0))
+            ends = np.flatnonzero(heavy & (c2 > 0) & (c3 == 0))
+            keep[ends[_among(self.heavy_pairs, _pair(word[c1[ends]], word[c2[ends]]))]] = False
+        packed, n = np.unique((c1[keep] << 42) | (c2[keep] << 21) | c3[keep], return_counts=True)
+        low = (1 << 21) - 1
+        return word[packed >> 42], word[(packed >> 21) & low], word[packed & low], n.astype(np.int64)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], attempt: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, whether the next word is in the same piece) of about SLICE positions, and
+    two more: those that follow, or nothing."""
+    hashes, goes_on, held = [], [], 0
+
+    def cut():
+        h = np.concatenate([*hashes, np.zeros(2, U64)])
+        on = np.concatenate([*goes_on, np.zeros(2, dtype=bool)])
+        for lo in range(0, len(h) - 2, SLICE):
+            yield h[lo:lo + SLICE + 2], on[lo:lo + SLICE + 2]
+
+    for batch in batches:
+        for w, langs in _runs(batch):
+            hashes.append(hashes_of(w, langs, attempt))
+            goes_on.append(_goes_on(w))
+            held += len(hashes[-1])
+            if held >= SLICE:
+                yield from cut()
+                hashes, goes_on, held = [], [], 0
+    if held:
+        yield from cut()
 
 
 def pair_counts(rows: DataFrame, plan: Broadcast) -> DataFrame:
     """(h1, h2, key, n) of the two-word prefixes that begin with a word beyond the budget."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p: Plan = plan.value
-        for batch in batches:
-            for w, langs in _runs(batch):
-                h1, h2, _ = p.suffixes(w, langs)
-                keep = _among(p.heavy, h1) & (h2 != 0)
-                ones = np.ones(int(keep.sum()), dtype=np.int64)
-                h1, h2, _, n = merged(h1[keep], h2[keep], np.zeros(len(ones), U64), ones)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(h1), _signed(h2), _signed(_pair(h1, h2)), pa.array(n)],
-                    names=["h1", "h2", "key", "n"])
+        for h, on in _slices(batches, p.attempt):
+            h1, h2, _, n = p.leaves(h, on, only_heavy=True)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(h1), _signed(h2), _signed(_pair(h1, h2)), pa.array(n)],
+                names=["h1", "h2", "key", "n"])
         give_back()
 
     return (rows.mapInArrow(run, "h1 long, h2 long, key long, n long")
@@ -212,52 +255,25 @@ def merged(h1: np.ndarray, h2: np.ndarray, h3: np.ndarray, n: np.ndarray) -> tup
     return h1[at], h2[at], h3[at], np.add.reduceat(n, at) if len(at) else n
 
 
-def _slice_leaves(h1: np.ndarray, h2: np.ndarray, h3: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Leaves of at most SLICE positions: words are numbered, and three numbers fit 64 bits."""
-    word, code = np.unique(np.concatenate([np.zeros(1, U64), h1, h2, h3]), return_inverse=True)
-    c1, c2, c3 = np.split(code[1:].astype(U64), 3)
-    if len(word) >= 1 << 21:
-        return merged(h1, h2, h3, np.ones(len(h1), dtype=np.int64))
-    packed, n = np.unique((c1 << U64(42)) | (c2 << U64(21)) | c3, return_counts=True)
-    low = U64((1 << 21) - 1)
-    return (word[(packed >> U64(42)).astype(np.int64)], word[((packed >> U64(21)) & low).astype(np.int64)],
-            word[(packed & low).astype(np.int64)], n.astype(np.int64))
-
-
-def _part_rows(plan: Plan, parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """One row a group: its leaves of these positions, as four columns of 64-bit numbers."""
-    h1, h2, h3 = (np.concatenate(x) for x in zip(*parts))
-    for lo in range(0, len(h1), SLICE):
-        leaves = _slice_leaves(h1[lo:lo + SLICE], h2[lo:lo + SLICE], h3[lo:lo + SLICE])
-        group = plan.group_of(*leaves[:3])
-        order = np.argsort(group, kind="stable")
-        group = group[order]
-        at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        offsets = pa.py_buffer((np.r_[at, len(group)] * 8).astype(np.int32).tobytes())
-        columns = [pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(
-            np.ascontiguousarray(x[order]).tobytes())]) for x in leaves]
-        yield pa.RecordBatch.from_arrays([pa.array(group[at].astype(np.int32)), *columns],
-                                         names=["part", "b1", "b2", "b3", "n"])
+def _part_rows(plan: Plan, leaves: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """One row a group: its leaves of a slice, as four columns of 64-bit numbers."""
+    group = plan.group_of(*leaves[:3])
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
+    offsets = pa.py_buffer((np.r_[at, len(group)] * 8).astype(np.int32).tobytes())
+    columns = [pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(
+        np.ascontiguousarray(x[order]).tobytes())]) for x in leaves]
+    return pa.RecordBatch.from_arrays([pa.array(group[at].astype(np.int32)), *columns],
+                                      names=["part", "b1", "b2", "b3", "n"])
 
 
 def scan_suffixes(rows: DataFrame, plan: Broadcast) -> DataFrame:
     """(part, b1, b2, b3, n): sorted, counted suffixes of the scanned positions by group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p: Plan = plan.value
-        parts, held = [], 0
-        for batch in batches:
-            for w, langs in _runs(batch):
-                h1, h2, h3 = p.suffixes(w, langs)
-                # A prefix beyond the budget has its total already: its ends count for nothing.
-                one = _among(p.heavy, h1)
-                keep = ~(one & (h2 == 0)) & ~(one & (h3 == 0) & _among(p.heavy_pairs, _pair(h1, h2)))
-                parts.append((h1[keep], h2[keep], h3[keep]))
-                held += int(keep.sum())
-                if held >= SLICE:
-                    yield from _part_rows(p, parts)
-                    parts, held = [], 0
-        if held:
-            yield from _part_rows(p, parts)
+        for h, on in _slices(batches, p.attempt):
+            yield _part_rows(p, p.leaves(h, on))
         give_back()
 
     return rows.mapInArrow(run, "part int, b1 binary, b2 binary, b3 binary, n binary")
@@ -324,7 +340,9 @@ def build_groups(parts: DataFrame, plan: Broadcast, least: int, budget: int) ->
         held.clear()
         give_back()
 
-    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, NODES)
+    # About a task a group: a task that gets several would read several budgets.
+    groups = int(plan.value.group[-1]) + 1
+    return parts.repartition(groups, "part").sortWithinPartitions("part").mapInArrow(run, NODES)
 
 
 def _heavy(found: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
