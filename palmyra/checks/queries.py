@@ -26,7 +26,8 @@ from palmyra.operators.refresh import append, replace_all, replace_keys, replace
 from palmyra.plans import bjr as bjr_plan
 from palmyra.plans import jobs, rainfall, weighbridge
 from palmyra.sources.tables import positional
-from palmyra.sources.writers import cut_lineage, export_csv, read_csv, scratch_path
+from palmyra.sources.writers import (cut_lineage, export_csv, live_slots, read_csv, scratch_path,
+                                     slot_values)
 
 # Parameters of the stand-in runs.
 EPOCH = (1995, 1)
@@ -38,6 +39,8 @@ AS_OF_FALLBACK = dt.date(1998, 5, 10)
 AS_OF_UNION = dt.date(1999, 3, 1)
 AS_OF_BJR = dt.date(1998, 3, 15)
 AS_OF_WB = dt.date(1998, 6, 30)
+FOLD_BEFORE = (1999, 1)        # months before this one are closed
+LATE_FROM = (1997, 11)
 BLOCK_EXCLUDE = ("PROMO",)     # division = part type
 BLOCK_CODE_LEN = 7             # block = brand, "Brand#1".."Brand#9"
 WB_EXCLUDE = ("P",)            # division = order status
@@ -300,16 +303,71 @@ def _warehouse(spark, d, *tables):
 
 
 def q_append_store(spark: SparkSession, d: str) -> DataFrame:
-    """Two sources append, one of them twice under one batch number (a retry)."""
+    """Two sources append, one of them twice under one batch number: its first try also
+    had rows of months that the second has none of, which must go."""
     wh = _warehouse(spark, d)
     readings = standin(spark, d, "readings")
     early = F.col("Tahun") < 1996
-    jobs.append_readings(readings.where(early).limit(10), wh, "load", 0)
+    jobs.append_readings(readings.where(F.col("Tahun") < 1997), wh, "load", 0)
     jobs.append_readings(readings.where(early), wh, "load", 0)
     jobs.append_readings(readings.where(~early), wh, "stream", 0)
     return rounded(wh.read(spark, "readings"))
 
 
+def _batch_of(name: str = "readings"):
+    """Three batches, each with rows of all months: so two of them bring late rows."""
+    day = F.dayofmonth("Date")
+    return F.when(day % 3 == 0, 0).when(day % 3 == 1, 1).otherwise(2)
+
+
+def _in_batches(spark: SparkSession, d: str, wh: jobs.Warehouse) -> None:
+    readings = standin(spark, d, "readings").withColumn("_batch", _batch_of())
+    jobs.append_readings(readings.where("_batch < 2").drop("_batch"), wh, "load", 0)    # a first try
+    for i in range(3):
+        jobs.append_readings(readings.where(F.col("_batch") == i).drop("_batch"), wh, "load", i)
+
+
+def q_monthly_rainfall_merged(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly rows from the stored partial aggregates of three batches; closed months'
+    batches are folded before the last one comes."""
+    wh = _warehouse(spark, d, "stations", "unit_types")
+    _in_batches(spark, d, wh)
+    jobs.fold_batches(spark, wh, FOLD_BEFORE)
+    return rounded(rainfall.monthly_from_state(wh.read(spark, "rainfall_state"), wh.read(spark, "stations"),
+                                               wh.read(spark, "unit_types")))
+
+
+def q_folded_slots(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each month of the readings table after folding, with its slots."""
+    wh = _warehouse(spark, d)
+    _in_batches(spark, d, wh)
+    jobs.append_readings(standin(spark, d, "readings").limit(0), wh, "load", 3)
+    jobs.fold_batches(spark, wh, FOLD_BEFORE)
+    slots = [slot_values(x) for x in live_slots(spark, wh.path("readings"))[1]]
+    counted = spark.createDataFrame([(int(v["Tahun"]), int(v["Bulan"]), 1) for v in slots],
+                                    "Tahun int, Bulan int, one int")
+    return (wh.read(spark, "readings").groupBy("Tahun", "Bulan").agg(F.count("*").alias("n_rows"))
+            .join(counted.groupBy("Tahun", "Bulan").agg(F.sum("one").alias("n_slots")), ["Tahun", "Bulan"]))
+
+
+def q_late_update_store(spark: SparkSession, d: str) -> DataFrame:
+    """The balance was stored without the readings of some days; those arrive late, and
+    one job brings all months from the first one that they touch up to date."""
+    wh = _warehouse(spark, d, "stations", "unit_types")
+    readings = standin(spark, d, "readings")
+    late = _is_late()
+    jobs.append_readings(readings.where(~late), wh, "load", 0)
+    jobs.run_initial_balance(spark, wh, epoch=EPOCH, opening=OPENING, capacity=CAPACITY, mode="intended")
+    jobs.append_readings(readings.where(late), wh, "stream", 0)
+    jobs.run_balance_from(spark, wh, *LATE_FROM, capacity=CAPACITY, mode="intended")
+    return rounded(wh.read(spark, "rainfall_balance"))
+
+
+def _is_late():
+    return (F.col("Tahun") * 12 + F.col("Bulan") >= LATE_FROM[0] * 12 + LATE_FROM[1]) \
+        & (F.dayofmonth("Date") % 5 == 0)
+
+
 def q_job_p1_store(spark: SparkSession, d: str) -> DataFrame:
     wh = _warehouse(spark, d, *RAIN)
     jobs.run_initial_balance(spark, wh, epoch=EPOCH, opening=OPENING, capacity=CAPACITY)
@@ -348,6 +406,9 @@ def q_job_p4_store(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "append_store": q_append_store,
+    "monthly_rainfall_merged": q_monthly_rainfall_merged,
+    "folded_slots": q_folded_slots,
+    "late_update_store": q_late_update_store,
     "job_p1_store": q_job_p1_store,
     "job_p2_store": q_job_p2_store,
     "job_p3_store": q_job_p3_store,
@@ -476,6 +537,48 @@ frame AS (
     return with_standins(RAIN, body, recursive=True)
 
 
+def _sql_late() -> str:
+    """The stored balance before the late readings; then every month from LATE_FROM on,
+    each estate's rows carrying on from the seed period of their month."""
+    first = 12 * LATE_FROM[0] + LATE_FROM[1]
+    early = with_standins(RAIN, "").replace(
+        "FROM lineitem)", f"FROM lineitem WHERE NOT (year(l_shipdate) * 12 + month(l_shipdate) >= {first}"
+        " AND day(l_shipdate) % 5 = 0))", 1)
+    columns = ("Tahun, Bulan, KodeKebun, TipeKebun, RainyDays, RainFallValueAVG, WaterReserve,"
+               " WaterEvapotranspiration, WaterBalance, WaterReserveAfterEvapor, WaterDeficit")
+    whole = with_standins(RAIN, ", " + MONTHLY_CTE.strip() + " SELECT * FROM mt")
+    stored = early.replace("WITH ", "WITH RECURSIVE ", 1) + _balance_ctes("intended") + " SELECT * FROM init"
+    return f"""
+WITH RECURSIVE stored AS MATERIALIZED ({stored}),
+whole AS MATERIALIZED ({whole}),
+new AS (SELECT * FROM whole WHERE Tahun * 12 + Bulan >= {first}),
+kept AS (
+  SELECT {columns} FROM stored s WHERE Tahun * 12 + Bulan >= {first} AND NOT EXISTS (
+    SELECT 1 FROM new n WHERE n.Tahun = s.Tahun AND n.Bulan = s.Bulan AND n.KodeKebun = s.KodeKebun)),
+fixed AS (SELECT {columns} FROM stored WHERE Tahun * 12 + Bulan < {first} UNION ALL SELECT {columns} FROM kept),
+held AS (SELECT DISTINCT Tahun * 12 + Bulan AS p FROM fixed UNION SELECT DISTINCT Tahun * 12 + Bulan FROM new),
+todo AS (
+  SELECT n.*, n.Tahun * 12 + n.Bulan AS p,
+         CASE WHEN n.Tahun * 12 + n.Bulan - 1 IN (SELECT p FROM held) THEN n.Tahun * 12 + n.Bulan - 1
+              ELSE n.Tahun * 12 END AS seed FROM new n),
+chain AS (
+  SELECT Tahun * 12 + Bulan AS p, {columns} FROM fixed
+  UNION ALL
+  SELECT t.p, t.Tahun, t.Bulan, t.KodeKebun, t.TipeKebun, t.RainyDays, t.avg_rain, 0.0, t.et,
+         CAST(t.avg_rain - t.et AS DOUBLE), {CLAMP("t.avg_rain - t.et")}, {DEFICIT("t.avg_rain - t.et")}
+  FROM todo t WHERE NOT EXISTS (SELECT 1 FROM fixed f WHERE f.KodeKebun = t.KodeKebun
+                                AND f.Tahun * 12 + f.Bulan = t.seed)
+    AND NOT EXISTS (SELECT 1 FROM todo o WHERE o.KodeKebun = t.KodeKebun AND o.p = t.seed)
+  UNION ALL
+  SELECT t.p, t.Tahun, t.Bulan, t.KodeKebun, t.TipeKebun, t.RainyDays, t.avg_rain,
+         c.WaterReserveAfterEvapor, t.et,
+         CAST((t.avg_rain + c.WaterReserveAfterEvapor) - t.et AS DOUBLE),
+         {CLAMP("(t.avg_rain + c.WaterReserveAfterEvapor) - t.et")},
+         {DEFICIT("(t.avg_rain + c.WaterReserveAfterEvapor) - t.et")}
+  FROM chain c JOIN todo t ON t.KodeKebun = c.KodeKebun AND t.seed = c.p)
+""" + BALANCE_SELECT + " FROM chain"
+
+
 def _idx(d: dt.date) -> int:
     return d.year * 12 + d.month
 
@@ -662,6 +765,12 @@ tbl AS (
 SELECT Tahun, Bulan, Estate, Lokasi, CAST(Date AS VARCHAR) AS Date,
        {R("RainFallValue")} AS RainFallValue FROM readings"""),
     "job_p1_store": _sql_initial("reference"),
+    "folded_slots": with_standins(RAIN[:1], f"""
+SELECT Tahun, Bulan, count(*) AS n_rows,
+       CASE WHEN Tahun * 12 + Bulan < {12 * FOLD_BEFORE[0] + FOLD_BEFORE[1]} THEN 1
+            ELSE count(DISTINCT day(Date) % 3) END AS n_slots
+FROM readings GROUP BY Tahun, Bulan"""),
+    "late_update_store": _sql_late(),
     "guarded_division": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        {R(GD("l_quantity * l_discount", "l_tax"))} AS ratio,
@@ -704,6 +813,7 @@ SELECT {ORDER_COLS}, {R("o_totalprice")} AS o_totalprice FROM order_history"""),
 }
 _P2 = _sql_update(AS_OF_UPDATE, f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}")
 ORACLE |= {
+    "monthly_rainfall_merged": ORACLE["monthly_rainfall"],
     "job_p2_store": f"""
 SELECT * FROM ({_P2}) WHERE Tahun = {AS_OF_UPDATE.year} AND Bulan = {AS_OF_UPDATE.month}
 UNION ALL

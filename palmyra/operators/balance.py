@@ -122,6 +122,57 @@ def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> C
     return F.aggregate(rows, init, step, lambda acc: acc["out"])
 
 
+def carried_balance(df: DataFrame, keys: Sequence[str], period: str, seed: str, inflow: str,
+                    outflow: str, *, mode: str = "reference", capacity: float = CAPACITY,
+                    fixed: str, keep: str, reserve_col: str = "WaterReserve",
+                    balance_col: str = "WaterBalance", close_col: str = "WaterReserveAfterEvapor",
+                    deficit_col: str = "WaterDeficit") -> DataFrame:
+    """Capped balance where each row names the period that it carries on from.
+
+    ``period`` counts months (year * 12 + month - 1), ``seed`` is the period whose row of
+    the key gives the state: the one before or the last December. A key without a row
+    there opens at (0, 0). Rows flagged ``fixed`` keep their stored values and set the
+    state; ``keep`` is handed through. The fold holds two states a key."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    keys, outputs = list(keys), [reserve_col, balance_col, close_col, deficit_col]
+    payload = [c for c in df.columns if c not in (*keys, *outputs, period, seed)]
+    names = (reserve_col, balance_col, close_col)
+    row = F.struct(
+        F.col(period), *[F.col(c) for c in payload], F.col(inflow).cast("double").alias("_in"),
+        F.col(outflow).cast("double").alias("_out"), F.col(fixed).alias("_fixed"),
+        F.col(seed).alias("_from"), F.col(reserve_col).cast("double").alias("_r0"),
+        F.col(balance_col).cast("double").alias("_b0"), F.col(close_col).cast("double").alias("_c0"))
+    state = T.StructType([T.StructField("p", T.IntegerType()), T.StructField("r", T.DoubleType()),
+                          T.StructField("c", T.DoubleType())])
+    out_type = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in names]))
+
+    def step(acc, x):
+        def before(part):
+            return (F.when(acc["last"]["p"] == x["_from"], acc["last"][part])
+                    .when(acc["december"]["p"] == x["_from"], acc["december"][part]).otherwise(F.lit(0.0)))
+        computed = (x["_in"] + before("r" if mode == "reference" else "c")) - x["_out"]
+        reserve = F.when(x["_fixed"], x["_r0"]).otherwise(before("c"))
+        close = F.when(x["_fixed"], x["_c0"]).otherwise(clamp(computed, 0.0, capacity))
+        balance = F.when(x["_fixed"], x["_b0"]).otherwise(computed)
+        here = F.struct(x[period].cast("int").alias("p"), reserve.alias("r"), close.alias("c")).cast(state)
+        return F.struct(
+            here.alias("last"),
+            F.when(x[period] % 12 == 11, here).otherwise(acc["december"]).alias("december"),
+            F.array_append(acc["out"], F.struct(reserve.alias(names[0]), balance.alias(names[1]),
+                                                close.alias(names[2]))).alias("out"))
+
+    nowhere = F.lit(None).cast(state)
+    init = F.struct(nowhere.alias("last"), nowhere.alias("december"),
+                    F.array().cast(out_type).alias("out"))
+    states = F.aggregate("_rows", init, step, lambda acc: acc["out"])
+    grouped = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    folded = (grouped.select(*keys, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
+              .select(*keys, *[F.col("_rows")[c].alias(c) for c in [period, *payload]],
+                      *[F.col("_state")[c].alias(c) for c in names]))
+    return folded.withColumn(deficit_col, deficit(balance_col))
+
+
 # Two-level scan. A row maps the state (reserve, close) of the previous row
 # to its own. Each output component is a clamp-add map x -> min(max(x + a,
 # lo), hi) of one input component, and such maps compose in closed form:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from palmyra.functions.periods import in_period, last_december, period_index, period_of, previous_month
 from palmyra.functions.scalar import (CAPACITY, EPOCH, OPENING_RESERVE, clamp,
                                       evapotranspiration)
-from palmyra.operators.balance import capped_balance
+from palmyra.operators.balance import capped_balance, carried_balance
+from palmyra.operators.skew import spread_join
 
 BALANCE_COLUMNS = [
     "Tahun", "Bulan", "KodeKebun", "TipeKebun", "RainyDays", "RainFallValueAVG",
@@ -42,35 +43,56 @@ def duplicate_units(unit_types: DataFrame) -> DataFrame:
             .where(F.col("listed") > 1))
 
 
-def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataFrame,
-                     *, period: tuple[int, int] | None = None) -> DataFrame:
-    r = readings.where(F.col("RainFallValue") > 0)
+STATE_KEYS = ["Tahun", "Bulan", "Estate", "Lokasi"]
+
+
+def reading_state(readings: DataFrame, *extra: str) -> DataFrame:
+    """Partial aggregates of readings, one row per month, estate and location: a bitmask
+    of the days (1 to 31 fit a long), the sum of the values and the count of dated
+    readings. States of any two sets of readings merge (:func:`merge_state`) into that of
+    both, so a month can be brought up to date from new rows and its state alone."""
+    return (readings.where(F.col("RainFallValue") > 0).groupBy(*STATE_KEYS, *extra).agg(
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), dayofmonth(`Date`))")).alias("Days"),
+        F.sum("RainFallValue").alias("Total"), F.count(F.dayofmonth("Date")).alias("Readings")))
+
+
+def merge_state(state: DataFrame) -> DataFrame:
+    """One row per month, estate and location from any number of partial ones."""
+    return state.groupBy(*STATE_KEYS).agg(F.bit_or("Days").alias("Days"), F.sum("Total").alias("Total"),
+                                          F.sum("Readings").alias("Readings"))
+
+
+def monthly_from_state(state: DataFrame, stations: DataFrame, unit_types: DataFrame,
+                       *, period: tuple[int, int] | None = None, merged: bool = False) -> DataFrame:
+    """Monthly rows from partial aggregates (``merged``: they are whole already). The
+    station table meets one row per month and location, never the readings."""
     if period is not None:
-        r = r.where(in_period("Tahun", "Bulan", period))
+        state = state.where(in_period("Tahun", "Bulan", period))
     mult = station_multiplicity(stations)
+    r = state if merged else merge_state(state)
     r = r.join(mult, (r["Estate"] == mult["StationEstate"]) & (r["Lokasi"] == mult["StationLokasi"]),
                "left")
     w = F.coalesce(F.col("_mult"), F.lit(1))
-    day = F.dayofmonth("Date")
-    # Two plain aggregates instead of two COUNT(DISTINCT): per location, then
-    # per estate-month. Distinct days are the bits set in an OR of 1 << day
-    # (days 1..31 fit a long); distinct locations are the non-null location
-    # groups. Both levels aggregate partially before their shuffle.
-    per_location = r.groupBy("Tahun", "Bulan", "Estate", "Lokasi").agg(
-        F.sum(F.coalesce(F.col("RainFallValue"), F.lit(0.0)) * w).alias("_sum"),
-        F.sum(F.when(day.isNotNull(), w).otherwise(0)).alias("_n"),
-        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), dayofmonth(`Date`))")).alias("_days"))
-    monthly = per_location.groupBy("Tahun", "Bulan", F.col("Estate").alias("KodeKebun")).agg(
-        F.coalesce(F.bit_count(F.bit_or("_days")).cast("long"), F.lit(0).cast("long"))
+    # Distinct days are the bits set in an OR of 1 << day; distinct locations are the
+    # non-null location groups. Both levels aggregate partially before their shuffle.
+    monthly = r.groupBy("Tahun", "Bulan", F.col("Estate").alias("KodeKebun")).agg(
+        F.coalesce(F.bit_count(F.bit_or("Days")).cast("long"), F.lit(0).cast("long"))
         .alias("RainyDays"),
-        F.try_divide(F.sum("_sum"), F.count("Lokasi")).alias("RainFallValueAVG"),
-        F.sum("_n").alias("_n_readings"),
+        F.try_divide(F.sum(F.col("Total") * w), F.count("Lokasi")).alias("RainFallValueAVG"),
+        F.sum(F.col("Readings") * w).alias("_n_readings"),
     ).withColumn("WaterEvapotranspiration", evapotranspiration("_n_readings"))
     return (monthly.join(unit_types, monthly["KodeKebun"] == unit_types["Unit"])
             .select("Tahun", "Bulan", "KodeKebun", F.col("UnitType").alias("TipeKebun"),
                     "RainyDays", "RainFallValueAVG", "WaterEvapotranspiration"))
 
 
+def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataFrame,
+                     *, period: tuple[int, int] | None = None) -> DataFrame:
+    if period is not None:
+        readings = readings.where(in_period("Tahun", "Bulan", period))
+    return monthly_from_state(reading_state(readings), stations, unit_types, merged=True)
+
+
 def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFrame, *,
                     epoch: tuple[int, int] = EPOCH, opening: float = OPENING_RESERVE,
                     capacity: float = CAPACITY, mode: str = "reference",
@@ -107,14 +129,15 @@ def readings_with_stations(readings: DataFrame, stations: DataFrame) -> DataFram
 
     A full outer join cannot be broadcast, so written directly it would
     shuffle every reading. Here it is the readings left-joined to the
-    stations (broadcast while the station table is below Spark's byte
-    threshold), plus the stations that match no reading, found against the
-    distinct reading keys (partially aggregated before their shuffle)."""
-    matched = readings.join(stations, (readings["Estate"] == stations["StationEstate"])
-                            & (readings["Lokasi"] == stations["StationLokasi"]), "left")
-    keys = readings.select("Estate", "Lokasi").distinct()
-    lonely = stations.join(keys, (stations["StationEstate"] == keys["Estate"])
-                           & (stations["StationLokasi"] == keys["Lokasi"]), "left_anti")
+    stations, plus the stations that match no reading, found against the
+    distinct reading keys (partially aggregated before their shuffle).
+    Readings without an estate or a location go round the join, and those of a
+    location with a large share of all readings are dealt over several tasks."""
+    keys = ["Estate", "Lokasi"]
+    own = stations.select(F.col("StationEstate").alias("Estate"), F.col("StationLokasi").alias("Lokasi"),
+                          "StationEstate", "StationLokasi")
+    matched = spread_join(readings, own, keys).select(*readings.columns, *stations.columns)
+    lonely = own.join(readings.select(*keys).distinct(), keys, "left_anti")
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema.fields]
     return matched.unionByName(lonely.select(*missing, *stations.columns))
 
@@ -159,3 +182,40 @@ def update_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFra
                          "WaterEvapotranspiration", mode=mode, capacity=capacity,
                          fixed="_seed")
     return out.select(*BALANCE_COLUMNS)
+
+
+def update_balance_from(monthly: DataFrame, history: DataFrame, first: tuple[int, int], *,
+                        capacity: float = CAPACITY, mode: str = "reference") -> DataFrame:
+    """Rows of every month from ``first`` on, as :func:`update_balance` run month by month
+    leaves them: computed from ``monthly``, beside the stored rows whose keys it does not
+    have. One plan, whatever the number of months.
+
+    Each month carries on from its seed period: the month before, or last December where
+    that holds no row of any estate (January: last December). Which months hold rows is
+    known beforehand, so the seed period is a column, and every estate's months are folded
+    in one pass that keeps the last row's state and the last December's."""
+    p = period_index("Tahun", "Bulan")
+    start = first[0] * 12 + first[1] - 1
+    keys = ["Tahun", "Bulan", "KodeKebun"]
+    new = monthly.where(p >= start)
+    stored = history.where(p >= start)
+    kept = stored.join(new.select(*keys).distinct(), keys, "left_anti").select(*BALANCE_COLUMNS)
+    december = (first[0] - 1) * 12 + 11
+    before = history.where((p < start) & ((p == start - 1) | (p == december))).select(*BALANCE_COLUMNS)
+
+    nothing = [F.lit(0.0).alias(c) for c in ("WaterReserve", "WaterBalance",
+                                             "WaterReserveAfterEvapor", "WaterDeficit")]
+    rows = (new.select(*MONTHLY_COLUMNS, *nothing).withColumn("_kept", F.lit(False))
+            .unionByName(kept.withColumn("_kept", F.lit(True)))
+            .unionByName(before.distinct().withColumn("_kept", F.lit(True)))
+            .withColumn("_period", p))
+    held = rows.select("_period").distinct()        # one row per calendar month
+    ahead = held.select((F.col("_period") + 1).alias("_period"), F.lit(True).alias("_follows"))
+    seeds = held.join(ahead, "_period", "left").select(
+        "_period", F.when(F.col("_follows"), F.col("_period") - 1)
+        .otherwise(F.floor(F.col("_period") / 12) * 12 - 1).cast("int").alias("_seed"))
+    out = carried_balance(rows.join(seeds, "_period"), ["KodeKebun"], "_period", "_seed",
+                          "RainFallValueAVG", "WaterEvapotranspiration", mode=mode,
+                          capacity=capacity, fixed="_kept", keep="_kept")
+    computed = out.where(~F.col("_kept")).select(*BALANCE_COLUMNS)
+    return computed.unionByName(kept)

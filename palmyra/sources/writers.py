@@ -1,13 +1,13 @@
 """Writing tables.
 
 A table refresh in the source is "delete + insert, then commit". Here a table
-is a directory ``<base>`` of immutable versions ``d=<id>/<period>=.../`` and a
-commit log ``<base>/_commits``. ``publish`` writes the new rows into a fresh
-version and appends to the log last, in one file: one row per period, naming
-the version that holds the period from now on (or none, when the period is now
-empty). Readers open only the directories that the log names, so a write that
-fails leaves the table as it was, and running it again is safe. One writer per
-table at a time (the jobs are run by one scheduler). ``vacuum`` removes
+is a directory ``<base>`` of immutable versions ``d=<id>/<period>=.../`` and
+snapshots ``<base>/_state/<commit>.json`` of what it holds: the version of every
+period. ``publish`` writes the new rows into a fresh version and puts the next
+snapshot in place by one rename, last. Readers take the newest snapshot and open
+only the directories that it names, so a write that fails leaves the table as it
+was, and running it again is safe. One writer per table at a time (the jobs are
+run by one scheduler; a second one is refused at its commit). ``vacuum`` removes
 versions that no period uses any more.
 
 Scratch output (checkpoints, exports in tests) goes under the shared folder
@@ -16,8 +16,10 @@ the cluster names in ``spark.checkpoint.dir``, never a machine-local one.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -63,54 +65,83 @@ def clear_stages(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
-LOG = T.StructType([
-    T.StructField("seq", T.LongType()),        # one commit a number, ascending
-    T.StructField("whole", T.BooleanType()),   # replaces every period logged before
-    T.StructField("slot", T.StringType()),     # "Tahun=1998/Bulan=6", "" without periods
-    T.StructField("version", T.StringType()),  # null: the slot is empty now
-])
+#: Snapshots that stay beside the newest one.
+KEPT_SNAPSHOTS = 4
 
 
-def _log_path(base: str) -> str:
-    return f"{base.rstrip('/')}/_commits"
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path: a table may lie in any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _snapshots(spark: SparkSession, base: str) -> list:
+    """Paths of the table's snapshots, oldest first (names are numbers of fixed width)."""
+    fs, folder = _fs(spark, f"{base.rstrip('/')}/_state")
+    if not fs.exists(folder):
+        return []
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json")]
+    return sorted(found, key=lambda p: p.getName())
 
 
 def is_versioned(spark: SparkSession, base: str) -> bool:
-    return _fs(spark, base)[0].exists(_fs(spark, _log_path(base))[1])
+    return bool(_snapshots(spark, base))
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system and path: a table may lie in any store."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def table_state(spark: SparkSession, base: str) -> dict:
+    """The newest snapshot: seq (the commit), slots ({slot: version}, what readers open)
+    and notes ({name: value} that jobs keep with the table). One small file is read and no
+    Spark job is run, however many commits there were."""
+    found = _snapshots(spark, base)
+    if not found:
+        return {"seq": 0, "slots": {}, "notes": {}}
+    fs, _ = _fs(spark, base)
+    stream = fs.open(found[-1])
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def live_slots(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
-    """(last commit, {slot: version}): what readers open. The log has one row per
-    commit and period, so its size follows the calendar, not the data."""
-    if not is_versioned(spark, base):
-        return 0, {}
-    live: dict[str, str] = {}
-    rows = spark.read.schema(LOG).parquet(_log_path(base)).orderBy("seq").toLocalIterator()
-    seq, cleared = 0, 0
-    for r in rows:
-        if r.whole and r.seq > cleared:
-            live, cleared = {}, r.seq
-        seq = r.seq
-        if r.version is None:
-            live.pop(r.slot, None)
-        else:
-            live[r.slot] = r.version
-    return seq, live
+    """(last commit, {slot: version}). A slot is a period directory, e.g.
+    "Tahun=1998/Bulan=6", or "" in a table without periods."""
+    state = table_state(spark, base)
+    return state["seq"], state["slots"]
+
+
+def slot_values(slot: str) -> dict[str, str]:
+    """Partition values of a slot, as Spark wrote them into its path."""
+    return {k: unquote(v) for k, _, v in (part.partition("=") for part in slot.split("/")) if k}
+
+
+def _put_snapshot(spark: SparkSession, base: str, state: dict) -> None:
+    """Put a complete snapshot in place by one rename. A snapshot of this number that is
+    there already is another writer's, whose commit must not be lost."""
+    folder = f"{base.rstrip('/')}/_state"
+    fs, target = _fs(spark, f"{folder}/{state['seq']:012d}.json")
+    _, draft = _fs(spark, f"{folder}/.{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise RuntimeError(f"{base}: commit {state['seq']} was made by another writer")
+    for old in _snapshots(spark, base)[:-1 - KEPT_SNAPSHOTS]:
+        fs.delete(old, False)
 
 
 def publish(df: DataFrame, base: str, partitions: Sequence[str] = (), *,
-            replaces: Sequence[str] | None = None) -> int:
+            replaces: Sequence[str] | None = None, replaces_value: dict[str, str] | None = None,
+            notes: dict | None = None, check: Callable[[], None] | None = None) -> int:
     """Write ``df`` as a new version and let readers see it; return the commit.
 
     ``replaces`` names the slots whose content this is, so one of them that gets no
     row becomes empty; None replaces the whole table; [] adds or replaces just
-    the slots that ``df`` has rows of. Rows are rebalanced by period before they
+    the slots that ``df`` has rows of. ``replaces_value`` names partition values, e.g. a
+    batch: all slots with one of them are emptied too, whether ``df`` has rows of them or
+    not. ``check`` is called when the rows are written and before anyone sees them; what
+    it raises leaves the table as it was. Rows are rebalanced by period before they
     are written: a small period becomes one file, a large one is split by size.
     """
     spark = df.sparkSession
@@ -123,15 +154,16 @@ def publish(df: DataFrame, base: str, partitions: Sequence[str] = (), *,
     else:
         df.write.parquet(path)
         slots = [""]
-    seq, _ = live_slots(spark, base)
-    emptied = [s for s in replaces or [] if s not in slots]
-    rows = [(seq + 1, replaces is None, s, version) for s in slots]
-    rows += [(seq + 1, False, s, None) for s in emptied]
-    if replaces is None and not rows:
-        rows = [(seq + 1, True, "", None)]
-    if rows:
-        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(_log_path(base))
-    return seq + 1
+    if check:
+        check()
+    state = table_state(spark, base)
+    gone = set(replaces or [])
+    kept = {} if replaces is None and not replaces_value else {
+        slot: v for slot, v in state["slots"].items() if slot not in gone
+        and not any(slot_values(slot).get(k) == x for k, x in (replaces_value or {}).items())}
+    _put_snapshot(spark, base, {"seq": state["seq"] + 1, "slots": {**kept, **dict.fromkeys(slots, version)},
+                                "notes": {**state["notes"], **(notes or {})}})
+    return state["seq"] + 1
 
 
 def _written_slots(spark: SparkSession, path: str, depth: int) -> list[str]:
@@ -144,10 +176,13 @@ def _written_slots(spark: SparkSession, path: str, depth: int) -> list[str]:
     return [slot for slot, _ in found]
 
 
-def read_current(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
-    """The table's live rows; ``schema`` has the partition columns too. Period
-    filters on the result prune directories."""
+def read_current(spark: SparkSession, base: str, schema: T.StructType,
+                 slots: Sequence[str] | None = None) -> DataFrame:
+    """The table's live rows (or those of some of its slots); ``schema`` has the partition
+    columns too. Period filters on the result prune directories."""
     _, live = live_slots(spark, base)
+    if slots is not None:
+        live = {s: live[s] for s in slots}
     if not live:
         return spark.createDataFrame([], schema)
     base = base.rstrip("/")

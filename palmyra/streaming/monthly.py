@@ -3,9 +3,10 @@
 New gauge-reading files land in a directory. Each micro-batch is appended to
 the readings table under the stream's own id and the batch's number, so a
 retried batch takes the place of its first try. The months from the oldest one
-that the batch touches to the newest stored one are then recomputed with the
-monthly job (P2), in order: each month's balance carries into the next, so a
-late reading changes all of them.
+that the batch touches to the newest stored one are then brought up to date, as the
+monthly job (P2) run for each of them in order would: a month's balance carries into the
+next, so a late reading changes all of them. That is one job, whatever the number of
+months, and it reads the months' partial aggregates and not their readings.
 
 The checkpoint is required. It holds the stream's id and its place in the
 landing folder; a stream without it would read every file again under a new
@@ -14,7 +15,6 @@ name. A new checkpoint is a new stream and takes all files of the folder.
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palmyra.functions.periods import period_index
-from palmyra.plans.jobs import Warehouse, append_readings, run_monthly_balance
+from palmyra.plans.jobs import Warehouse, append_readings, run_balance_from
 from palmyra.sources.tables import SCHEMAS
 
 
@@ -31,23 +31,13 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
 
 
-def recompute_from(spark: SparkSession, wh: Warehouse, year: int, month: int, **options) -> None:
-    """P2 for every month from this one to the newest stored one."""
-    newest = max(year * 12 + month - 1, *(
-        wh.periods(spark, t, "Tahun", "Bulan").select(
-            F.coalesce(F.max(period_index("Tahun", "Bulan")), F.lit(0))).first()[0]
-        for t in ("rainfall_balance", "readings")))
-    for p in range(year * 12 + month - 1, newest + 1):
-        run_monthly_balance(spark, wh, dt.date(p // 12, p % 12 + 1, 1), **options)
-
-
 def _ingest(wh: Warehouse, checkpoint: str, mode: str):
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         append_readings(batch, wh, _stream_id(spark, checkpoint), batch_id)
         oldest = batch.select(F.min(period_index("Tahun", "Bulan"))).first()[0]
         if oldest is not None:
-            recompute_from(spark, wh, oldest // 12, oldest % 12 + 1, mode=mode)
+            run_balance_from(spark, wh, oldest // 12, oldest % 12 + 1, mode=mode)
     return on_batch
 
 
