@@ -53,7 +53,10 @@ def capped_balance(
     close_col: str = "WaterReserveAfterEvapor",
     deficit_col: str = "WaterDeficit",
     chunk: str | None = None,
+    doubled: str | None = None,
 ) -> DataFrame:
+    """``doubled`` names a further column: the rows of the key (and chunk) that share their
+    order with another one, found in the pass over them."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keys, order = list(keys), list(order)
@@ -86,26 +89,35 @@ def capped_balance(
     else:
         grouped = df.groupBy(*keys, chunk).agg(sorted_rows)
         openings = _chunk_openings(grouped, keys, chunk, mode, capacity)
-        grouped = (_join_null_safe(grouped, openings, keys + [chunk])
-                   .withColumn("_rows", _opened("_rows", F.col("_is_first"))))
-        states = _fold_states("_rows", F.col("_r_in"), F.col("_c_in"), mode, capacity, state_cols)
+        grouped = _join_null_safe(grouped, openings, keys + [chunk])
+        states = _fold_states("_rows", F.col("_r_in"), F.col("_c_in"), mode, capacity, state_cols,
+                              F.col("_is_first"))
+    twice = [_repeats(order).alias(doubled)] if doubled else []
     folded = (
-        grouped.select(*keys, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
+        grouped.select(*keys, *twice, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
         .select(*keys, *[F.col("_rows")[c].alias(c) for c in order + payload],
-                *[F.col("_state")[c].alias(c) for c in state_cols])
+                *[F.col("_state")[c].alias(c) for c in state_cols], *([doubled] if doubled else []))
     )
     return folded.withColumn(deficit_col, deficit(balance_col))
 
 
-def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> Column:
+def _repeats(order: Sequence[str]) -> Column:
+    places = F.transform("_rows", lambda x: F.struct(*(x[c].alias(c) for c in order)))
+    return F.size("_rows") - F.size(F.array_distinct(places))
+
+
+def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols,
+                 opens: Column | None = None) -> Column:
     """Sequential fold over sorted rows from state (r0, c0). It carries only
-    three doubles per row; the payload is zipped back by the caller."""
+    three doubles per row; the payload is zipped back by the caller. ``opens``: whether a
+    first row may be an opening one (default: yes)."""
     reserve_col, balance_col, close_col = state_cols
     state_type = T.ArrayType(T.StructType(
         [T.StructField(c, T.DoubleType()) for c in state_cols]))
 
     def step(acc, x):
-        keep = x["_fixed"] | (x["_opening"] & (F.size(acc["out"]) == 0))
+        keep = x["_fixed"] | (x["_opening"] & (F.size(acc["out"]) == 0)
+                              & (F.lit(True) if opens is None else opens))
         prev = acc["r"] if mode == "reference" else acc["c"]
         computed = (x["_in"] + prev) - x["_out"]
         bal = F.when(keep, x["_b0"]).otherwise(computed)
@@ -124,7 +136,7 @@ def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols) -> C
 
 def carried_balance(df: DataFrame, keys: Sequence[str], period: str, seed: str, inflow: str,
                     outflow: str, *, mode: str = "reference", capacity: float = CAPACITY,
-                    fixed: str, keep: str, reserve_col: str = "WaterReserve",
+                    fixed: str, keep: str, doubled: str | None = None, reserve_col: str = "WaterReserve",
                     balance_col: str = "WaterBalance", close_col: str = "WaterReserveAfterEvapor",
                     deficit_col: str = "WaterDeficit") -> DataFrame:
     """Capped balance where each row names the period that it carries on from.
@@ -167,21 +179,22 @@ def carried_balance(df: DataFrame, keys: Sequence[str], period: str, seed: str,
                     F.array().cast(out_type).alias("out"))
     states = F.aggregate("_rows", init, step, lambda acc: acc["out"])
     grouped = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    folded = (grouped.select(*keys, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
+    twice = [_repeats([period]).alias(doubled)] if doubled else []
+    folded = (grouped.select(*keys, *twice, F.inline(F.arrays_zip(F.col("_rows"), states.alias("_state"))))
               .select(*keys, *[F.col("_rows")[c].alias(c) for c in [period, *payload]],
-                      *[F.col("_state")[c].alias(c) for c in names]))
+                      *[F.col("_state")[c].alias(c) for c in names], *([doubled] if doubled else [])))
     return folded.withColumn(deficit_col, deficit(balance_col))
 
 
-# Two-level scan. A row maps the state (reserve, close) of the previous row
-# to its own. Each output component is a clamp-add map x -> min(max(x + a,
-# lo), hi) of one input component, and such maps compose in closed form:
-# (a2, lo2, hi2) after (a1, lo1, hi1) = (a1 + a2, clamp(lo1 + a2, lo2, hi2),
-# clamp(hi1 + a2, lo2, hi2)); a constant is lo = hi. So a whole chunk of rows
-# is one such transform, built inside its chunk; folding the chunk
-# transforms in order gives each chunk's opening state.
+# Two-level scan. Each close is a clamp-add map x -> min(max(x + a, lo), hi) of an
+# earlier one: the last (mode "intended") or the one before it ("reference"). Such maps
+# compose in closed form: (a2, lo2, hi2) after (a1, lo1, hi1) = (a1 + a2, clamp(lo1 + a2,
+# lo2, hi2), clamp(hi1 + a2, lo2, hi2)). A map whose a is NULL is the constant lo, whatever
+# the close before was, known or not; an unknown flow gives the constant NULL. A chunk is two maps: its last close (a, lo, hi) and the one before it (pa, plo,
+# phi), which is the reserve; what they are maps of follows from the number of rows.
 
 _INF = float("inf")
+_CHUNK = ("a", "lo", "hi", "pa", "plo", "phi")
 
 
 def _nullable(v: float) -> Column:
@@ -190,92 +203,60 @@ def _nullable(v: float) -> Column:
     return F.try_divide(F.lit(v), F.lit(1.0))
 
 
-def _map(a, lo, hi, const=None) -> Column:
-    """A clamp-add map, or with ``const`` the map to ``lo`` whatever the state
-    (also an unknown one) was."""
-    return F.struct(a.cast("double").alias("a"), lo.cast("double").alias("lo"),
-                    hi.cast("double").alias("hi"),
-                    (F.lit(False) if const is None else const).alias("const"))
-
-
-def _between(x, lo, hi) -> Column:
-    """min(max(x, lo), hi), NULL if any of them is (least and greatest skip NULL)."""
-    unknown = x.isNull() | lo.isNull() | hi.isNull()
-    return F.when(~unknown, F.least(F.greatest(x, lo), hi))
-
-
-def _after(m2, m1) -> Column:
-    a2 = m2["a"]
-    both = _map(m1["a"] + a2, _between(m1["lo"] + a2, m2["lo"], m2["hi"]),
-                _between(m1["hi"] + a2, m2["lo"], m2["hi"]), m1["const"])
-    return F.when(m2["const"], m2).otherwise(both)
-
+def _maps(*values) -> Column:
+    return F.struct(*(v.alias(name) for name, v in zip(_CHUNK, values)))
 
-def _apply(m, x) -> Column:
-    return F.when(m["const"], m["lo"]).otherwise(_between(x + m["a"], m["lo"], m["hi"]))
 
-
-def _part(from_c, m) -> Column:
-    return F.struct(from_c.alias("from_c"), m.alias("m"))
-
-
-def _row_transform(x, mode: str, capacity: float) -> Column:
-    ident = _map(_nullable(0.0), _nullable(-_INF), _nullable(_INF))
-    # A NULL flow leaves an unknown close, whatever the state was.
-    flow = x["_in"] - x["_out"]
-    known = flow.isNotNull()
-    step = _map(F.coalesce(flow, F.lit(0.0)), F.when(known, F.lit(0.0)),
-                F.when(known, F.lit(float(capacity))), ~known)
-    moving = F.struct(_part(F.lit(True), ident).alias("R"),
-                      _part(F.lit(mode != "reference"), step).alias("C"))
-    const = lambda v: _part(F.lit(False), _map(F.lit(0.0), v, v, F.lit(True)))
-    fixed = F.struct(const(x["_r0"]).alias("R"), const(x["_c0"]).alias("C"))
-    return F.when(x["_fixed"], fixed).otherwise(moving)
-
-
-def _then(t1, t2) -> Column:
-    """Transform t2 after t1."""
-    def comp(p2):
-        src = F.when(p2["from_c"], t1["C"]).otherwise(t1["R"])
-        return _part(src["from_c"], _after(p2["m"], src["m"]))
-    return F.struct(comp(t2["R"]).alias("R"), comp(t2["C"]).alias("C"))
+def _chunk_maps(rows, start: Column, mode: str, capacity: float) -> Column:
+    """Maps of the rows' last two closes, after those of ``start``."""
+    def step(acc, x):
+        flow, kept = x["_in"] - x["_out"], F.coalesce(x["_fixed"], F.lit(False))
+        a, lo, hi = (acc[c] for c in (_CHUNK[3:] if mode == "reference" else _CHUNK[:3]))
+        bound = lambda v: F.when(v.isNotNull(), clamp(v, 0.0, capacity))
+        return _maps(F.when(~kept, a + flow),
+                     F.when(kept, x["_c0"]).otherwise(bound(lo + flow)),
+                     F.when(kept, x["_c0"]).otherwise(bound(hi + flow)),
+                     F.when(~kept, acc["a"]),
+                     F.when(kept, x["_r0"]).otherwise(acc["lo"]),
+                     F.when(kept, x["_r0"]).otherwise(acc["hi"]))
+    return F.aggregate(rows, start, step)
 
 
-def _opened(rows: str, first: Column) -> Column:
-    """The rows with their opening flag settled: only the first row of a key's
-    first chunk counts as one, and it is then kept like a fixed row."""
-    yes = lambda c: F.coalesce(c, F.lit(False))
-    return F.transform(rows, lambda x, i: x.withField(
-        "_fixed", yes(x["_fixed"]) | (first & (i == 0) & yes(x["_opening"])))
-        .withField("_opening", F.lit(False)))
+def _apply(a, lo, hi, x) -> Column:
+    """A map that is not constant gives NULL for NULL (least and greatest skip it)."""
+    return F.when(a.isNull(), lo).when(x.isNotNull(), F.least(F.greatest(x + a, lo), hi))
 
 
 def _chunk_openings(grouped: DataFrame, keys, chunk: str, mode: str,
                     capacity: float) -> DataFrame:
     """(keys, chunk, _r_in, _c_in, _is_first): the state each chunk starts from.
 
-    Only transforms leave the chunks: one for the chunk as the first of its key, one
-    for it as a later one. Those of a key (a small struct a chunk, e.g. a year) are
-    gathered in order up to the chunk before and folded from (0, 0)."""
-    ident = _map(_nullable(0.0), _nullable(-_INF), _nullable(_INF))
-    identity = F.struct(_part(F.lit(False), ident).alias("R"),
-                        _part(F.lit(True), ident).alias("C"))
-
-    def transform(first: bool) -> Column:
-        return F.aggregate(_opened("_rows", F.lit(first)), identity,
-                           lambda acc, x: _then(acc, _row_transform(x, mode, capacity)))
+    Only maps leave the chunks, six numbers each. Those of a key (one a chunk, e.g. a
+    year) are gathered in order up to the chunk before and applied from (0, 0)."""
+    ident = _nullable(0.0), _nullable(-_INF), _nullable(_INF)
+    first = F.col("_rows")[0]
+    none = F.lit(None).cast("double")
+    opened = _maps(none, first["_c0"], first["_c0"], none, first["_r0"], first["_r0"])
+    rest = F.slice("_rows", 2, F.size("_rows"))
+    # As the first chunk of its key, one that begins with an opening row starts from it.
+    as_first = F.when(F.coalesce(first["_opening"], F.lit(False)), _chunk_maps(rest, opened, mode, capacity))
+    later = _chunk_maps("_rows", _maps(*ident, *ident), mode, capacity)
 
     def step(acc, t):
-        r = _apply(t["R"]["m"], F.when(t["R"]["from_c"], acc["c"]).otherwise(acc["r"]))
-        c = _apply(t["C"]["m"], F.when(t["C"]["from_c"], acc["c"]).otherwise(acc["r"]))
-        return F.struct(r.alias("r"), c.alias("c"))
+        turned = t["odd"] & F.lit(mode == "reference")
+        last = F.when(turned, acc["r"]).otherwise(acc["c"])
+        before = acc["c"] if mode != "reference" else F.when(turned, acc["c"]).otherwise(acc["r"])
+        return F.struct(_apply(t["m"]["pa"], t["m"]["plo"], t["m"]["phi"], before).alias("r"),
+                        _apply(t["m"]["a"], t["m"]["lo"], t["m"]["hi"], last).alias("c"))
 
     in_order = Window.partitionBy(*keys).orderBy(chunk)
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     start = F.struct(_nullable(0.0).alias("r"), _nullable(0.0).alias("c"))
-    return (grouped.select(*keys, chunk, transform(True).alias("_t1"), transform(False).alias("_t2"))
-            .withColumn("_is_first", F.row_number().over(in_order) == 1)
-            .withColumn("_t", F.when(F.col("_is_first"), F.col("_t1")).otherwise(F.col("_t2")))
+    maps = grouped.select(*keys, chunk, as_first.alias("_t1"), later.alias("_t2"),
+                          (F.size("_rows") % 2 == 1).alias("_odd"))
+    return (maps.withColumn("_is_first", F.row_number().over(in_order) == 1)
+            .withColumn("_t", F.struct(F.when(F.col("_is_first"), F.coalesce("_t1", "_t2"))
+                                       .otherwise(F.col("_t2")).alias("m"), F.col("_odd").alias("odd")))
             .withColumn("_state", F.aggregate(F.collect_list("_t").over(earlier), start, step))
             .select(*keys, chunk, "_is_first", F.col("_state.r").alias("_r_in"),
                     F.col("_state.c").alias("_c_in")))
