@@ -25,6 +25,9 @@ def main(argv=None) -> None:
     p.add_argument("--epoch", default="{}-{:02d}".format(*EPOCH),
                    help="P1 opening month, YYYY-MM")
     p.add_argument("--export", help="P3: CSV export folder")
+    p.add_argument("--workbook", help="P3: folder for the export as spreadsheet workbooks")
+    p.add_argument("--refuse-null-years", action="store_true",
+                   help="P3/P4: end the job at a row without a planting year")
     p.add_argument("--exclude", help="P3/P4: comma-separated excluded division codes")
     p.add_argument("--code-len", type=int, help="P3/P4: required block-code length")
     p.add_argument("--master", help="Spark master (default: from spark-submit)")
@@ -45,9 +48,10 @@ def main(argv=None) -> None:
     elif a.job == "p2":
         jobs.run_monthly_balance(spark, wh, a.as_of, mode=a.mode)
     elif a.job == "p3":
-        jobs.run_bjr(spark, wh, a.as_of, export_path=a.export, **clean)
+        jobs.run_bjr(spark, wh, a.as_of, export_path=a.export, workbook_path=a.workbook,
+                     refuse_null_years=a.refuse_null_years, **clean)
     else:
-        jobs.run_wb_actual(spark, wh, a.as_of, **clean)
+        jobs.run_wb_actual(spark, wh, a.as_of, refuse_null_years=a.refuse_null_years, **clean)
     if a.show:
         _show(spark, wh, a.job, a.as_of, a.show)
     clear_stages(spark)

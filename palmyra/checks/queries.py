@@ -25,7 +25,9 @@ from palmyra.operators.proration import netto_totals
 from palmyra.operators.refresh import append, replace_all, replace_keys, replace_where
 from palmyra.plans import bjr as bjr_plan
 from palmyra.plans import jobs, rainfall, weighbridge
+from palmyra.sources.ordered import read_ordered, write_ordered
 from palmyra.sources.tables import positional
+from palmyra.sources.workbook import export_workbook, load_workbook
 from palmyra.sources.writers import (cut_lineage, export_csv, live_slots, read_csv, scratch_path,
                                      slot_values)
 
@@ -290,6 +292,22 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rounded(positional(back, h.columns))
 
 
+def q_workbook_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Written as workbook parts, one a task, and read back."""
+    path = scratch_path(spark, "workbook-export")
+    h = standin(spark, d, "order_history")
+    export_workbook(h, path)
+    return rounded(load_workbook(spark, path, h.schema))
+
+
+def q_ordered_by_estate(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly rainfall written in the order of estate and month; each row's position
+    comes from the files, read in the order of their names."""
+    path = scratch_path(spark, "ordered")
+    write_ordered(rainfall.monthly_rainfall(*_rain_inputs(spark, d)), path, ["KodeKebun", "Tahun", "Bulan"])
+    return read_ordered(spark, path).select("position", "KodeKebun", "Tahun", "Bulan", "RainyDays")
+
+
 # ---------------------------------------------------------------- jobs
 
 def _warehouse(spark, d, *tables):
@@ -440,6 +458,8 @@ QUERIES = {
     "replace_all": q_replace_all,
     "append_rows": q_append_rows,
     "csv_roundtrip": q_csv_roundtrip,
+    "workbook_roundtrip": q_workbook_roundtrip,
+    "ordered_by_estate": q_ordered_by_estate,
 }
 
 
@@ -814,6 +834,10 @@ SELECT {ORDER_COLS}, {R("o_totalprice")} AS o_totalprice FROM order_history"""),
 _P2 = _sql_update(AS_OF_UPDATE, f"Tahun * 12 + Bulan < {_idx(AS_OF_UPDATE)}")
 ORACLE |= {
     "monthly_rainfall_merged": ORACLE["monthly_rainfall"],
+    "workbook_roundtrip": ORACLE["csv_roundtrip"],
+    "ordered_by_estate": with_standins(RAIN, ", " + MONTHLY_CTE.strip() + """
+SELECT row_number() OVER (ORDER BY KodeKebun, Tahun, Bulan) AS position, KodeKebun, Tahun, Bulan, RainyDays
+FROM mt"""),
     "job_p2_store": f"""
 SELECT * FROM ({_P2}) WHERE Tahun = {AS_OF_UPDATE.year} AND Bulan = {AS_OF_UPDATE.month}
 UNION ALL

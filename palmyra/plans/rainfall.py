@@ -96,8 +96,8 @@ def monthly_rainfall(readings: DataFrame, stations: DataFrame, unit_types: DataF
 def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFrame, *,
                     epoch: tuple[int, int] = EPOCH, opening: float = OPENING_RESERVE,
                     capacity: float = CAPACITY, mode: str = "reference",
-                    chunk_by_year: bool = False) -> DataFrame:
-    """Full rebuild of the balance table.
+                    chunk_by_year: bool = False, doubled: str | None = None) -> DataFrame:
+    """Full rebuild of the balance table. ``doubled``: see ``capped_balance``.
 
     An estate whose first month is the epoch opens with ``opening`` in
     reserve and a balance of ``opening + mean - ET``, ET taken from the
@@ -119,8 +119,8 @@ def initial_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFr
     )
     out = capped_balance(m, ["KodeKebun"], ["Tahun", "Bulan"], "RainFallValueAVG",
                          "WaterEvapotranspiration", mode=mode, capacity=capacity,
-                         opening="_epoch", chunk="Tahun" if chunk_by_year else None)
-    return out.select(*BALANCE_COLUMNS)
+                         opening="_epoch", chunk="Tahun" if chunk_by_year else None, doubled=doubled)
+    return out.select(*BALANCE_COLUMNS, *([doubled] if doubled else []))
 
 
 def readings_with_stations(readings: DataFrame, stations: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def seed_rows(history: DataFrame, as_of) -> DataFrame:
 
 def update_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFrame,
                    history: DataFrame, as_of, *, capacity: float = CAPACITY,
-                   mode: str = "reference") -> DataFrame:
+                   mode: str = "reference", doubled: str | None = None) -> DataFrame:
     """Rows to write for the month of ``as_of``: the seed rows (unchanged)
     and the new month's rows, whose balance carries on from the seed.
 
@@ -180,12 +180,13 @@ def update_balance(readings: DataFrame, stations: DataFrame, unit_types: DataFra
     frame = seed.unionByName(new)
     out = capped_balance(frame, ["KodeKebun"], ["Tahun", "Bulan"], "RainFallValueAVG",
                          "WaterEvapotranspiration", mode=mode, capacity=capacity,
-                         fixed="_seed")
-    return out.select(*BALANCE_COLUMNS)
+                         fixed="_seed", doubled=doubled)
+    return out.select(*BALANCE_COLUMNS, *([doubled] if doubled else []))
 
 
 def update_balance_from(monthly: DataFrame, history: DataFrame, first: tuple[int, int], *,
-                        capacity: float = CAPACITY, mode: str = "reference") -> DataFrame:
+                        capacity: float = CAPACITY, mode: str = "reference",
+                        doubled: str | None = None) -> DataFrame:
     """Rows of every month from ``first`` on, as :func:`update_balance` run month by month
     leaves them: computed from ``monthly``, beside the stored rows whose keys it does not
     have. One plan, whatever the number of months.
@@ -216,6 +217,7 @@ def update_balance_from(monthly: DataFrame, history: DataFrame, first: tuple[int
         .otherwise(F.floor(F.col("_period") / 12) * 12 - 1).cast("int").alias("_seed"))
     out = carried_balance(rows.join(seeds, "_period"), ["KodeKebun"], "_period", "_seed",
                           "RainFallValueAVG", "WaterEvapotranspiration", mode=mode,
-                          capacity=capacity, fixed="_kept", keep="_kept")
-    computed = out.where(~F.col("_kept")).select(*BALANCE_COLUMNS)
-    return computed.unionByName(kept)
+                          capacity=capacity, fixed="_kept", keep="_kept", doubled=doubled)
+    more = [doubled] if doubled else []
+    computed = out.where(~F.col("_kept")).select(*BALANCE_COLUMNS, *more)
+    return computed.unionByName(kept.select("*", *(F.lit(0).alias(c) for c in more)))
