@@ -1,7 +1,8 @@
 """Secret scan: wide candidates, and a random forest that removes false positives.
 
 Candidates are long tokens, the values of assignments to names that end in a
-credential-like word (``db_password``, ``"password":``), and passwords in URLs.
+credential-like word (``db_password``, ``"password":``), and passwords in URLs. A value
+that holds another such name and sign ends there, and the inner one counts.
 A forest over the candidate's length, character transitions, dictionary coverage,
 path and neighbouring words, trained from labelled findings, gives each one its
 probability of being a secret.
@@ -32,7 +33,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palmyra.llm.spans import after, before, matches
+from palmyra.llm.spans import after, before, matches, values_after
 from palmyra.sources.writers import cut_lineage
 
 TRAIN_ROWS = 20_000
@@ -43,13 +44,12 @@ CONTEXT = 40
 TOKEN = r"(?:(?<![A-Za-z0-9_+/=.-])|\G)[A-Za-z0-9_+/=.-]{16,}+"
 NAMES = (r"(?:password|passwd|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|auth"
          r"|credential|bearer)")
-# Between a name and its value: a closing quote, the sign, an opening quote.
-SIGN = r"[\"']?\s{0,4}(?::=|=>|[=:])\s{0,4}[\"']?"
-LOGIN = r"://[^\s:/@\"']{0,64}:"
-# The short look-behinds spare most positions the long ones.
-ASSIGNED = (rf"(?i)(?<=[=:>\s\"'])(?<={NAMES}{SIGN})(?![=>])[^\s\"',;]{{6,}}+"
-            rf"|(?<=:)(?<={LOGIN})[^\s/\"'<>]+(?=@)")
-MAY_ASSIGN = rf"(?i){NAMES}{SIGN}|{LOGIN}"
+# From a name to its value: a closing quote, the sign, an opening quote, any blanks.
+NAMED = rf"(?i){NAMES}[\"']?\s*+(?::=|=>|[=:])\s*+[\"']?(?=[^\s\"',;]{{6}})(?![=>])"
+ASSIGNED = r"[^\s\"',;]{6,}+"
+# A user's name in a URL, before the password.
+LOGIN = r"://[^\s:/@\"']*+:(?=[^\s/\"'<>]+@)"
+PASSWORD = r"[^\s/\"'<>]+(?=@)"
 # Published formats of tokens; fixed values.
 FORMATS = (r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,}"
            r"|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]+\.[0-9A-Za-z_.-]+)$")
@@ -69,7 +69,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = matches(text, ASSIGNED, text.rlike(MAY_ASSIGN))
+    assigned = values_after(text, NAMED, ASSIGNED, text.rlike(NAMED))
+    login = values_after(text, LOGIN, PASSWORD, F.instr(text, "://") > 0)
+    apart = F.filter(login, lambda s: ~F.exists(assigned, lambda x: (x["start"] < s["end"])
+                                                & (s["start"] < x["end"])))
+    named = F.when(F.instr(text, "://") > 0, F.concat(assigned, apart)).otherwise(assigned)
     found = rows.select("id", "path", "text", named.alias("named"),
                         matches(text, TOKEN).alias("long"))
     alone = F.filter("long", lambda s: ~F.exists("named", lambda x: (x["start"] < s["end"])

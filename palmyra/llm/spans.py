@@ -34,6 +34,28 @@ def matches(text: Column, pattern: str, when: Column | None = None) -> Column:
     return found if when is None else F.when(when, found).otherwise(empty)
 
 
+def values_after(text: Column, name: str, value: str, when: Column) -> Column:
+    """What ``value`` matches right after each match of ``name``, as (start, end, value),
+    up to the next name. The pieces that ``split`` leaves between the names hold the
+    values, however far a name is from its value or how long either is."""
+    gaps = F.split(text, name, -1)
+    names = F.regexp_extract_all(text, F.lit(name), F.lit(0))
+    parts = F.transform(names, lambda x, i: F.struct(
+        (F.char_length(gaps[i]) + F.char_length(x)).alias("skip"),
+        F.regexp_extract(gaps[i + 1], f"^(?:{value})", 0).alias("value")))
+    empty = F.array().cast(SPAN)
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["skip"]
+        span = F.array(F.struct(start.alias("start"), (start + F.char_length(x["value"])).alias("end"),
+                                x["value"].alias("value")))
+        return F.struct(start.alias("at"), F.when(x["value"] == "", acc["out"])
+                        .otherwise(F.concat(acc["out"], span)).alias("out"))
+
+    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
+    return F.when(when, found).otherwise(empty)
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -98,3 +99,81 @@ def test_usual_forms_of_named_values(spark, text, value):
     got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert [(r.value, r.assigned) for r in got] == [(value, True)]
     assert text[got[0].start:got[0].end] == value
+
+
+@pytest.mark.parametrize("text,value", [
+    ('password      =      "hunter22!x"', "hunter22!x"), ("token\n\t\n      :\n\n\"Ab3$9kLq\"", "Ab3$9kLq"),
+    ("ftp://" + "u" * 300 + ":hunter22@host", "hunter22"), ("auth" + " " * 5000 + "= s3cr3t!x", "s3cr3t!x"),
+    ("password=token=abc!def", "abc!def"), ("secret: " + "k!" * 9000, "k!" * 9000)])
+def test_names_may_lie_far_from_their_values(spark, text, value):
+    got = [r for r in secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+           if r.assigned]
+    assert [(r.value, text[r.start:r.end]) for r in got] == [(value, value)]
+
+
+def by_hand(text):
+    """Candidates of a text, walking it from the left: (start, end, assigned)."""
+    name = re.compile(r"(?:password|passwd|pwd|secret(?:[_-]?key)?|token|api[_-]?key|access[_-]?key|auth"
+                      r"|credential|bearer)[\"']?\s*(?::=|=>|[=:])\s*[\"']?", re.I)
+    found, at = [], 0
+    while at < len(text):
+        m = name.search(text, at)
+        if not m:
+            break
+        value = re.match(r"[^\s\"',;]+", text[m.end():])
+        inner = name.search(text, m.end())
+        # A sign of two characters may also be read as one of them; such values don't count.
+        if not value or len(value.group()) < 6 or text[m.end()] in "=>":
+            at = m.start() + 1
+            continue
+        end = min(m.end() + len(value.group()), inner.start() if inner and inner.end() > inner.start()
+                  and valid(text, inner) else len(text))
+        if end - m.end() >= 6:
+            found.append((m.end(), end, True))
+        at = m.end()
+    for m in re.finditer(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/=.-]{16,}", text):
+        if not any(a < m.end() and m.start() < b for a, b, _ in found):
+            found.append((m.start(), m.end(), False))
+    return sorted(found)
+
+
+def valid(text, m):
+    value = re.match(r"[^\s\"',;]+", text[m.end():])
+    return bool(value) and len(value.group()) >= 6 and text[m.end()] not in "=>"
+
+
+def test_candidates_against_plain_python(spark):
+    rng = random.Random(12)
+    pieces = ["password", "api_key", "=", ": ", " ", "  ", "\n", "\"", "hunter22!x", "abc", ",", ";", "x" * 20,
+              "a/b-c.d_e+f=g1234", "é", "Token", "plain words here", "0123456789abcdef"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 25))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {i: [] for i in range(len(texts))}
+    for r in secret_scan.scan(docs).collect():
+        got[r.id].append((r.start, r.end, r.assigned))
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == by_hand(text), repr(text)
+
+
+def test_coverage_and_features_against_plain_python(spark):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.sample(WORDS, 4)) + " " + "".join(rng.choices("abXY01_-/.", k=24)) + "handler9returns x")
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = {w for w in WORDS if sum(w in re.split("[^a-z]+", t.lower()) for _, t in rows) >= 10}
+    assert {r.word for r in secret_scan.dictionary(docs).collect()} >= known
+    words = {r.word for r in secret_scan.dictionary(docs).collect()}
+    spans = secret_scan.features(secret_scan.coverage(secret_scan.scan(docs), secret_scan.dictionary(docs))).collect()
+    assert spans
+    for r in spans:
+        v = r.value
+        parts = re.findall("[a-z]{3,20}", v.lower())
+        letters = sum(c.isascii() and c.isalpha() for c in v)
+        classes = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in v)
+        want = {"length": len(v), "digits": sum(c.isdigit() for c in v) / len(v), "distinct": len(set(v)),
+                "switches": sum(a != b for a, b in zip(classes, classes[1:])),
+                "coverage": sum(len(w) for w in parts if w in words) / max(letters, 1),
+                "longest_word": max((len(w) for w in parts if w in words), default=0), "slashes": v.count("/"),
+                "dots": v.count("."), "longest_digits": max(map(len, re.split("[^0-9]+", v)))}
+        for k, x in want.items():
+            assert r[f"f_{k}"] == pytest.approx(x), (k, v)
