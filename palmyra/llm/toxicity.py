@@ -251,9 +251,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most ``train_rows`` ids of 8 bytes: a proven bound for the broadcast.
     labelled = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                 .join(F.broadcast(marked), "id").withColumn("fold", fold(F.col("id"))))
-    # Ids may repeat, in either table.
-    sample = cut_lineage(labelled.orderBy(F.xxhash64("id"), "toxic", F.xxhash64("text"), "id")
-                         .limit(train_rows), "toxic-sample")
+    # Ids may repeat, in either table. Only then are rows chosen once more, which brings
+    # those chosen (at most train_rows) together in one task.
+    if labelled.select("id").count() > train_rows:
+        labelled = labelled.orderBy(F.xxhash64("id"), "toxic", F.xxhash64("text"), "id").limit(train_rows)
+    sample = cut_lineage(labelled, "toxic-sample")
     fit = sample.where("fold <> 4")
     both = fit.agg(F.countDistinct("toxic")).first()[0]
     if both < 2:
