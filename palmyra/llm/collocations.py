@@ -340,9 +340,9 @@ def build_groups(parts: DataFrame, plan: Broadcast, least: int, budget: int) ->
         held.clear()
         give_back()
 
-    # About a task a group: a task that gets several would read several budgets.
+    # Two tasks a group, so that few of them get several.
     groups = int(plan.value.group[-1]) + 1
-    return parts.repartition(groups, "part").sortWithinPartitions("part").mapInArrow(run, NODES)
+    return parts.repartition(2 * groups, "part").sortWithinPartitions("part").mapInArrow(run, NODES)
 
 
 def _heavy(found: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
@@ -429,10 +429,13 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
     pairs_left = (pairs.join(covers, ["h1", "h2"], "left")
                   .where(F.col("most").isNull() | (F.col("most") * 100 < F.col("a") * inside)).drop("most"))
     rest = pairs.select(F.col("h1").alias("h2"), F.col("h2").alias("h3"), F.col("a").alias("r1"))
-    found = (pairs_left.withColumn("r1", F.lit(None).cast("long"))
-             .unionByName(spread_join(triples, rest, ["h2", "h3"], "inner"))
-             .withColumn("h", F.when(F.col("h3") == 0, F.col("h2")).otherwise(F.col("h3"))))
-    found = spread_join(found, counts.select("h", F.col("n").alias("r2")), ["h"], "inner").drop("h")
+    # A spread join reads its left side twice, to count keys and to join: each is written.
+    found = cut_lineage(
+        pairs_left.withColumn("r1", F.lit(None).cast("long"))
+        .unionByName(spread_join(triples, rest, ["h2", "h3"], "inner"))
+        .withColumn("h", F.when(F.col("h3") == 0, F.col("h2")).otherwise(F.col("h3"))), "phrase-rests")
+    found = cut_lineage(spread_join(found, counts.select("h", F.col("n").alias("r2")), ["h"], "inner")
+                        .drop("h"), "phrase-found")
     early = F.when(F.col("h3") != 0, _score("l1", "r1"))
     late = F.when(F.col("h3") == 0, _score("l1", "r2")).otherwise(_score("l2", "r2"))
     first_cut = F.coalesce(F.col("s1") <= F.col("s2"), F.lit(False))
@@ -453,8 +456,9 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least:
         scored.groupBy("grp", "score").agg(F.count("*").alias("m"))
         .withColumn("before", F.coalesce(F.sum("m").over(upto), F.lit(0))).where(F.col("before") < top)
         .groupBy("grp").agg(F.min("score").alias("least")), "phrase-limits")
-    near = scored.join(least_score, "grp").where(F.col("score") >= F.col("least")).drop("least")
-    named = spelled(spelled(near, 2), 3).withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
+    near = cut_lineage(scored.join(least_score, "grp").where(F.col("score") >= F.col("least")).drop("least"),
+                       "phrase-near")
+    named = spelled(cut_lineage(spelled(near, 2), "phrase-named"), 3).withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
     order = Window.partitionBy("grp").orderBy(F.desc("score"), F.desc("a"), "phrase")
     sizes = words.groupBy("grp").agg(F.sum("n").alias("n"))
     return (named.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
