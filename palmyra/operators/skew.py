@@ -56,11 +56,11 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
         dealt = F.xxhash64(*rows.columns, F.spark_partition_id())
         rows = (rows.join(hot, on, "left")
                 .withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(dealt, "_parts"))
-                            .otherwise(0)).drop("_parts"))
-        other = (other.join(hot, on, "left")
-                 .withColumn("_part", F.explode(F.sequence(
-                     F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)))
-                 .drop("_parts"))
+                            .otherwise(F.lit(0).cast("long"))).drop("_parts"))
+        # Every row is there for part 0; only those of hot keys are replicated.
+        more = (other.join(hot, on).withColumn("_part", F.explode(F.sequence(
+            F.lit(1).cast("long"), F.col("_parts").cast("long") - 1))).drop("_parts"))
+        other = other.withColumn("_part", F.lit(0).cast("long")).unionByName(more)
         joined = rows.join(other, [*on, "_part"], how).drop("_part")
     else:
         joined = rows.join(other, on, how)
