@@ -12,9 +12,14 @@ letters that at least ``least_docs`` documents contain. Coverage is the share of
 candidate's letters that lie in such runs.
 
 Labelled findings come as a table (id, start, is_secret), or by
-:func:`known_findings`: rules that are sure in one direction (published token
-formats, quoted assignments of random-looking values; plain words, plain numbers,
-rulers of one character) and leave the rest to the forest.
+:func:`known_findings`, from what the whole table says about a value at its other
+places, which no feature holds: a value that stands without a credential name at
+``common`` different places is public (a commit, a digest, an id, a word), and one that
+another place gives a credential name is a secret. A place is a value with its
+surroundings, so copies of a text are one place. Where the table says nothing, rules
+speak (published token formats, assignments of random-looking values; plain words, plain
+numbers, rulers of one character), but a rule that the table contradicts in more than
+5 % of the places where it says something gives no labels. The rest is the forest's.
 
 Everything runs as Spark SQL expressions and Spark ML. At most ``train_rows``
 labelled findings are fitted.
@@ -34,10 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palmyra.llm.spans import after, before, matches, values_after
+from palmyra.operators.skew import spread_join
 from palmyra.sources.writers import cut_lineage
 
 TRAIN_ROWS = 20_000
 LEAST_DOCS = 10
+#: Places without a credential name that make a value public.
+COMMON = 5
+#: A rule is held against the table's evidence where that speaks of so many places, and
+#: needs that agreement.
+HELD_PLACES, AGREEMENT = 20, 0.95
 SEED = 3
 CONTEXT = 40
 
@@ -55,10 +66,12 @@ FORMATS = (r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-
            r"|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[0-9A-Za-z_-]+\.[0-9A-Za-z_.-]+)$")
 CREDENTIAL_WORDS = rf"(?i)(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z]))){NAMES}(?![A-Za-z])"
 DUMMY_WORDS = r"(?i)(?:example|sample|dummy|test|fake|placeholder|changeme|xxxx|your[_-])"
+IDENTIFIER_WORDS = (r"(?i)(?<![a-z])(?:commit|revision|sha-?[0-9]*|md5|digest|checksum|hash|etag|uuid|guid"
+                    r"|build|version|id)(?![a-z])")
 FEATURES = ("length", "letters", "digits", "uppers", "signs", "distinct", "switches",
             "switch_share", "longest_letters", "longest_digits", "hex", "vowels", "coverage",
             "longest_word", "path_depth", "slashes", "dots", "assigned", "quoted",
-            "credential_words", "dummy_words", "context_words", "sentence_end")
+            "credential_words", "identifier_words", "dummy_words", "context_words", "sentence_end")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -137,35 +150,66 @@ def features(spans: DataFrame) -> DataFrame:
         "longest_word": F.col("longest"), "path_depth": count(path, "/"), "slashes": count(v, "/"),
         "dots": count(v, r"\."), "assigned": F.col("assigned").cast("int"),
         "quoted": b.rlike("[\"']$").cast("int"), "credential_words": b.rlike(CREDENTIAL_WORDS).cast("int"),
+        "identifier_words": b.rlike(IDENTIFIER_WORDS).cast("int"),
         "dummy_words": F.concat(both, v).rlike(DUMMY_WORDS).cast("int"),
         "context_words": F.size(words_of(both)), "sentence_end": a.rlike(r"^[\s.,;!?]").cast("int"),
     }
-    return spans.select("row", "id", "path", "start", "end", "value", "assigned", "before",
+    return spans.select("row", "id", "path", "start", "end", "value", "assigned", "before", "after",
                         *(x.cast("double").alias(f"f_{k}") for k, x in f.items()))
 
 
-def known_findings(table: DataFrame) -> DataFrame:
-    """(row, start, is_secret) of those candidates that a rule is sure about."""
+def sure(rows: DataFrame) -> DataFrame:
+    """The candidates with ``rule``: format or assigned (secrets), plain (none), or null."""
     v = F.col("value")
     random = (F.col("f_length") >= 20) & (F.col("f_digits") > 0.05) & (F.col("f_letters") > 0.05) \
         & (F.col("f_distinct") >= 8) & (F.col("f_dummy_words") == 0)
-    sure = v.rlike(FORMATS) | (F.col("assigned") & random)
     plain = ~F.col("assigned") & (v.rlike(r"^[A-Za-z.-]+$") | v.rlike(r"^[0-9.-]+$")
                                   | v.rlike(r"^/?(?:[A-Za-z0-9_.-]+/){2,}[A-Za-z0-9_.-]*$")
                                   | (F.col("f_distinct") <= 3) | (F.col("f_dummy_words") == 1))
-    return table.where(sure | plain).select("row", "start", sure.cast("int").alias("is_secret"))
+    return rows.withColumn("rule", F.when(v.rlike(FORMATS), "format")
+                           .when(F.col("assigned") & random, "assigned").when(plain, "plain"))
+
+
+def known_findings(table: DataFrame, common: int = COMMON) -> DataFrame:
+    """(row, start, is_secret), at most one a place. Of a public value, whose places may
+    be many, one with a credential name and one without count."""
+    places = cut_lineage(
+        sure(table).groupBy(F.md5("value").alias("v"), F.xxhash64("before", "after", "assigned").alias("place"))
+        .agg(F.min(F.struct("row", "start")).alias("at"), F.max("assigned").alias("named"),
+             F.max("rule").alias("rule"), F.max(F.col("value").rlike(DUMMY_WORDS)).alias("dummy")),
+        "secret-places")
+    values = places.groupBy("v").agg(
+        F.count_if("named").alias("names"), F.count_if(~F.col("named")).alias("bare"), F.count("*").alias("_rows"),
+        F.min(F.when(F.col("named"), F.col("at"))).alias("first_named"),
+        F.min(F.when(~F.col("named"), F.col("at"))).alias("first_bare"))
+    values = cut_lineage(values.where("_rows > 1"), "secret-values")
+    # A value with one place has no other that could speak for it.
+    told = spread_join(places, values.drop("_rows"), ["v"], counts=values.select("v", "_rows"))
+    public = F.col("bare") >= common
+    first = F.col("at").eqNullSafe(F.when(F.col("named"), F.col("first_named")).otherwise(F.col("first_bare")))
+    secret = ((F.col("names") - F.col("named").cast("int") > 0) & (F.col("names") < common) & ~F.col("dummy"))
+    told = cut_lineage(told.select(
+        "at", "rule", (public & ~first).alias("again"), F.when(public, 0).when(secret, 1).alias("evidence"),
+        (F.col("rule") != "plain").cast("int").alias("ruled")).where("not coalesce(again, false)"), "secret-told")
+    right = {r.rule: (r.n, r.agreed) for r in told.where("evidence IS NOT NULL AND rule IS NOT NULL").groupBy("rule")
+             .agg(F.count("*").alias("n"), F.count_if(F.col("evidence") == F.col("ruled")).alias("agreed")).collect()}
+    trusted = [k for k in ("format", "assigned", "plain")
+               if (n := right.get(k, (0, 0)))[0] < HELD_PLACES or n[1] >= AGREEMENT * n[0]]
+    label = F.coalesce("evidence", F.when(F.col("rule").isin(trusted), F.col("ruled")))
+    return (told.withColumn("is_secret", label).where(F.col("is_secret").isNotNull())
+            .select("at.row", "at.start", "is_secret"))
 
 
 def find(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id",
          text_col: str = "text", path_col: str | None = None, train_rows: int = TRAIN_ROWS,
-         least_docs: int = LEAST_DOCS) -> DataFrame:
+         least_docs: int = LEAST_DOCS, common: int = COMMON) -> DataFrame:
     """One row per candidate: id, start, end (code points, exclusive), value,
     assigned, score, is_secret (score >= 0.5). ``findings``: (id, start, is_secret)."""
     spans = scan(docs, id_col, text_col, path_col)
     table = cut_lineage(features(coverage(spans, dictionary(docs, text_col, least_docs))),
                         "secret-candidates")
     if findings is None:
-        labels = known_findings(table)
+        labels = known_findings(table, common)
     else:
         named = findings.select(F.col(id_col).alias("id"), "start",
                                 F.col("is_secret").cast("int").alias("is_secret"))
