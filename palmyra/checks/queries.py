@@ -25,6 +25,7 @@ from palmyra.operators.proration import netto_totals
 from palmyra.operators.refresh import append, replace_all, replace_keys, replace_where
 from palmyra.plans import bjr as bjr_plan
 from palmyra.plans import jobs, rainfall, weighbridge
+from palmyra.sources.bucketed import colocating_session, open_bucketed, write_bucketed
 from palmyra.sources.ordered import read_ordered, write_ordered
 from palmyra.sources.tables import positional
 from palmyra.sources.workbook import export_workbook, load_workbook
@@ -46,6 +47,7 @@ LATE_FROM = (1997, 11)
 BLOCK_EXCLUDE = ("PROMO",)     # division = part type
 BLOCK_CODE_LEN = 7             # block = brand, "Brand#1".."Brand#9"
 WB_EXCLUDE = ("P",)            # division = order status
+BUCKETS = 8
 
 
 def _r(c):
@@ -225,6 +227,19 @@ def q_prorate_netto(spark: SparkSession, d: str) -> DataFrame:
     return rounded(weighbridge.prorate_netto(*_wb_inputs(spark, d)))
 
 
+def q_prorate_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Both sides stored bucketed, as one slice, then prorated without a shuffle of the
+    weighbridge rows."""
+    bjr, wb = _wb_inputs(spark, d)
+    at = {}
+    for name, rows in (("bjr", bjr), ("wb", weighbridge.with_month(wb))):
+        at[name] = scratch_path(spark, f"bucketed-{name}")
+        write_bucketed(rows, at[name], 0, weighbridge.BUCKET_KEYS, BUCKETS)
+    own = colocating_session(spark)
+    return rounded(weighbridge.prorate_colocated(open_bucketed(own, at["bjr"]),
+                                                 open_bucketed(own, at["wb"])))
+
+
 def q_load_wb_actual(spark: SparkSession, d: str) -> DataFrame:
     existing = cut_lineage(weighbridge.prorate_netto(*_wb_inputs(spark, d)))
     out = weighbridge.load_wb_actual(standin(spark, d, "bjr"), standin(spark, d, "weighbridge"),
@@ -412,6 +427,16 @@ def q_job_p3_store(spark: SparkSession, d: str) -> DataFrame:
     return rounded(wh.read(spark, "bjr"))
 
 
+def q_job_p4_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """As ``job_p4_store``, on the year's bucketed weighbridge."""
+    wh = _warehouse(spark, d, "weighbridge", "bjr")
+    jobs.write_table(weighbridge.prorate_netto(*_wb_inputs(spark, d))
+                     .where(F.year("FullDate") != AS_OF_WB.year), wh, "wb_actual")
+    jobs.bucket_weighbridge(spark, wh, AS_OF_WB.year, BUCKETS)
+    jobs.run_wb_actual(spark, wh, AS_OF_WB, buckets=BUCKETS, exclude=WB_EXCLUDE)
+    return rounded(wh.read(spark, "wb_actual"))
+
+
 def q_job_p4_store(spark: SparkSession, d: str) -> DataFrame:
     """The stored year starts with other values; the other years stay."""
     wh = _warehouse(spark, d, "weighbridge", "bjr")
@@ -431,6 +456,7 @@ QUERIES = {
     "job_p2_store": q_job_p2_store,
     "job_p3_store": q_job_p3_store,
     "job_p4_store": q_job_p4_store,
+    "job_p4_bucketed": q_job_p4_bucketed,
     "monthly_rainfall": q_monthly_rainfall,
     "full_join_stations": q_full_join_stations,
     "initial_balance_reference": q_initial_balance_reference,
@@ -450,6 +476,7 @@ QUERIES = {
     "kg_actual": q_kg_actual,
     "netto_totals": q_netto_totals,
     "prorate_netto": q_prorate_netto,
+    "prorate_bucketed": q_prorate_bucketed,
     "load_wb_actual": q_load_wb_actual,
     "guarded_division": q_guarded_division,
     "replace_month": q_replace_month,
@@ -844,4 +871,6 @@ UNION ALL
 SELECT {AS_OF_UPDATE.year}, {AS_OF_UPDATE.month}, 'OTHER', 'OTHER', 1, 2.0, 3.0, 120, 4.0, 5.0, 6.0""",
     "job_p3_store": ORACLE["load_bjr"],
     "job_p4_store": ORACLE["load_wb_actual"],
+    "job_p4_bucketed": ORACLE["load_wb_actual"],
+    "prorate_bucketed": ORACLE["prorate_netto"],
 }
