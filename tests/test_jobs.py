@@ -1,6 +1,7 @@
 """The four jobs end to end on warehouse tables written from the stand-ins."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from palmyra.checks.standins import standin
 from palmyra.plans import bjr as bjr_plan
 from palmyra.plans import jobs, rainfall, weighbridge
-from palmyra.sources.writers import scratch_path
+from palmyra.sources.writers import SHUFFLE_CLEANUP, scratch_path
 
 L1 = ("readings", "stations", "unit_types", "block_fact", "unit", "division", "block",
       "weighbridge")
@@ -191,3 +192,32 @@ def test_facts_are_read_by_period(spark, wh):
             df.explain("formatted")
         line = next(x for x in out.getvalue().splitlines() if "PartitionFilters" in x)
         assert filters in line, line
+
+
+def test_multiplied_rows_are_not_shuffled_and_shuffles_go(spark, sf0001):
+    """The yearly job writes what its join multiplied without a shuffle of it, and a write
+    leaves no shuffle files behind."""
+    import os
+
+    from palmyra.checks.queries import AS_OF_WB, _warehouse
+
+    w = _warehouse(spark, sf0001, "weighbridge", "bjr")
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in dirs for _, _, names in os.walk(d.toString()) for f in names if f.startswith("shuffle_")}
+
+    before, seen = files(), []
+    hint = type(spark.range(0)).hint
+    type(spark.range(0)).hint = lambda self, name, *a: seen.append(name) or hint(self, name, *a)
+    try:
+        jobs.run_wb_actual(spark, w, AS_OF_WB, exclude=("P",))
+    finally:
+        type(spark.range(0)).hint = hint
+    assert "rebalance" not in seen
+    until = time.time() + 20       # the executors remove them in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert w.read(spark, "wb_actual").count() > 0
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
