@@ -102,8 +102,11 @@ def capped_balance(
 
 
 def _repeats(order: Sequence[str]) -> Column:
+    # The rows are sorted by these columns, so equal ones are neighbours: one pass, where
+    # array_distinct compares each struct with all others.
     places = F.transform("_rows", lambda x: F.struct(*(x[c].alias(c) for c in order)))
-    return F.size("_rows") - F.size(F.array_distinct(places))
+    equal = F.zip_with(places, F.slice(places, 2, F.size("_rows")), lambda a, b: a.eqNullSafe(b))
+    return F.size(F.filter(equal, lambda x: x))
 
 
 def _fold_states(rows: str, r0, c0, mode: str, capacity: float, state_cols,
