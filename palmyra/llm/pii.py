@@ -24,10 +24,11 @@ reach the target precision, both labels weighing the same however many of each t
 are; a family that never does, or whose calibration examples lack a label, adds
 nothing. Added spans that overlap a base span are dropped.
 
-Everything runs as Spark SQL expressions and Spark ML. The trees are fitted on at
-most ``train_rows`` candidates, as many of each family and label at most and all of
-them together weighing the same, so a mass of one kind of number takes no other
-family's examples; generators, rules and scores cover every text.
+Everything runs as Spark SQL expressions and Spark ML. The trees are fitted on all
+labelled candidates of two thirds of the rows, and the thresholds count all of the
+other third's; each family and label weighs the same in all, so a mass of one kind of
+number does not outweigh another family's examples. With ``train_rows`` (default: none)
+at most so many are taken. Generators, rules and scores cover every text.
 
 Cases: null and empty texts have no spans; a null id is kept; rows that repeat an id
 are judged one by one; without both kinds of examples nothing is added; an empty
@@ -48,7 +49,6 @@ from palmyra.llm.spans import after, before, digits, luhn, matches
 from palmyra.sources.writers import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "id")
-TRAIN_ROWS = 20_000
 TARGET_PRECISION = 0.95
 SEED = 5
 
@@ -244,17 +244,18 @@ def sampled(table: DataFrame, train_rows: int) -> DataFrame:
     return reduce(DataFrame.unionByName, each)
 
 
-def select_added(table: DataFrame, train_rows: int = TRAIN_ROWS,
+def select_added(table: DataFrame, train_rows: int | None = None,
                  precision: float = TARGET_PRECISION, made: DataFrame | None = None) -> DataFrame:
     """(row, kind, place, start, end, score) of the candidates beyond the base
     spans that their family's threshold selects. ``made``: further labelled examples."""
     rows = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="_v").transform(table)
     labelled = table if made is None else table.unionByName(made)
-    sample = cut_lineage(sampled(labelled, train_rows)
-                         .withColumn("part", F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(3))),
-                         "pii-sample")
-    sample = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="_v").transform(sample)
-    fit = sample.where("part > 0")
+    known = sampled(labelled, train_rows) if train_rows else labelled.where(F.col("label").isNotNull())
+    known = known.withColumn("part", F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(3)))
+    if train_rows:
+        known = cut_lineage(known, "pii-sample")
+    known = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="_v").transform(known)
+    fit = known.where("part > 0")
     none = table.where(F.lit(False)).select("row", "kind", "place", "start", "end",
                                             F.lit(0.0).alias("score"))
     n = {(r.kind, r.label): r.n for r in
@@ -267,16 +268,20 @@ def select_added(table: DataFrame, train_rows: int = TRAIN_ROWS,
                           for (k, label), m in sorted(n.items())))
     trees = GBTClassifier(featuresCol="_v", labelCol="label", weightCol="weight", maxIter=15, maxDepth=4, stepSize=0.3,
                           seed=SEED, minInstancesPerNode=4).fit(
-        fit.select("_v", "label", weight.alias("weight")).coalesce(2))
+        fit.select("_v", "label", weight.alias("weight")))
     probability = vector_to_array("probability")[1]
-    held = trees.transform(sample.where("part = 0")).select("kind", "label",
-                                                            probability.alias("score"))
+    # Examples of equal score are counted together first, so only a family's different
+    # scores (sums of leaves) meet in the windows, not its examples.
+    held = cut_lineage(
+        trees.transform(known.where("part = 0")).select("kind", "label", probability.alias("score"))
+        .groupBy("kind", "score").agg(F.count_if(F.col("label") == 1).alias("n_true"),
+                                      F.count_if(F.col("label") == 0).alias("n_false")), "pii-scores")
     # Shares of the true and of the false examples at or above a score; null, so
     # no threshold, where the family lacks either.
     every = Window.partitionBy("kind")
     upto = every.orderBy(F.desc("score"))
     share = lambda x: F.sum(x).over(upto) / F.nullif(F.sum(x).over(every), F.lit(0))
-    right, wrong = share(F.col("label")), share(1 - F.col("label"))
+    right, wrong = share("n_true"), share("n_false")
     limits = (held.withColumn("p", right / (right + wrong)).where(F.col("p") >= precision)
               .groupBy("kind").agg(F.min("score").alias("least")))
     # Between that score and the next lower one no example lies: the middle is the limit.
@@ -284,9 +289,9 @@ def select_added(table: DataFrame, train_rows: int = TRAIN_ROWS,
              .groupBy("kind").agg(F.max("score").alias("next")))
     limits = limits.join(below, "kind", "left").select(
         "kind", ((F.col("least") + F.coalesce("next", "least")) / 2).alias("least"))
-    known = {r.kind: r.least for r in limits.collect()}     # at most one row a family
+    found = {r.kind: r.least for r in limits.collect()}     # at most one row a family
     # Calibration examples may all be told apart; a limit below one half would then mean little.
-    least = F.coalesce(*(F.when(F.col("kind") == k, F.lit(max(float(known.get(k, 2.0)), 0.5)))
+    least = F.coalesce(*(F.when(F.col("kind") == k, F.lit(max(float(found.get(k, 2.0)), 0.5)))
                          for k in KINDS))
     return (trees.transform(rows.where(~F.col("base")))
             .select("row", "kind", "place", "start", "end", probability.alias("score"))
@@ -302,7 +307,7 @@ def _listed(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         train_rows: int = TRAIN_ROWS, precision: float = TARGET_PRECISION) -> DataFrame:
+         train_rows: int | None = None, precision: float = TARGET_PRECISION) -> DataFrame:
     """Per row: id, base and added spans (kind, place, start, end, ...)."""
     spans = scan(docs, id_col, text_col)
     table = cut_lineage(features(spans.where(F.size("spans") > 0)), "pii-candidates")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from palmyra.llm import pii
+from palmyra.sources.writers import cut_lineage
 
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -177,3 +178,29 @@ def test_planted_wide_forms_in_surroundings_of_no_example(spark):
         wrong = sum(k == kind for i in nobody for k, _ in got[i])
         assert hit >= 0.9 * len(true), (kind, hit, len(true))
         assert hit >= 0.95 * (hit + wrong), (kind, hit, wrong, [got[i] for i in nobody if got[i]])
+
+
+def test_the_fit_and_the_thresholds_take_every_example(spark, monkeypatch):
+    """All labelled candidates, far more than an eighth of the former 20000 of one family and label."""
+    noise = [f"CAST(pmod(xxhash64(id, '{k}'), 5) AS DOUBLE) AS f_{k}" for k in pii.FEATURES[1:]]
+    table = spark.range(12_000).selectExpr(
+        "id AS row", "'card' AS kind", "2 AS place", "CAST(0 AS INT) AS start", "CAST(9 AS INT) AS `end`",
+        "id % 2 = 0 AS base", "CAST(id % 2 = 0 AS INT) AS label",
+        f"CAST(id % 2 AS DOUBLE) AS f_{pii.FEATURES[0]}", *noise)
+    used, scored = [], []
+
+    class Trees(pii.GBTClassifier):
+        def fit(self, rows):
+            used.append(rows.count())
+            return super().fit(rows)
+
+    def kept(df, name="stage"):
+        out = cut_lineage(df, name)
+        if name == "pii-scores":
+            scored.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    monkeypatch.setattr(pii, "cut_lineage", kept)
+    pii.select_added(table)
+    assert used[0] > 7_500 and used[0] + sum(r.n_true + r.n_false for r in scored) == 12_000
