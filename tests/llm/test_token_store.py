@@ -102,3 +102,32 @@ def test_pieces_of_odd_texts():
 def test_pieces_keep_added_tokens(text):
     enc = token_store.encoder(token_store.tokenizer_path())
     assert enc.encode(text) == enc.raw(text)
+
+
+def test_pieces_of_a_batch_give_the_ids_of_whole_texts():
+    import pyarrow as pa
+    rng = random.Random(5)
+    enc = token_store.encoder(token_store.tokenizer_path())
+    texts = [None, "", " ", "\n", "a \n", "<|endoftext|> x"] + ["".join(rng.choices(
+        "aB's.,#!\n \t\r\x1cé1_-$%\"’×÷  　\u0085日Дя́ß²😀", k=rng.randrange(25))) for _ in range(20_000)]
+    for part in (pa.array(texts), pa.array(["x y", *texts]).slice(1)):
+        assert list(enc.encode_all(part)) == [enc.raw(t) if t else b"" for t in texts]
+
+
+def test_long_batches_are_cut_in_runs(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(token_store, "RUN_BYTES", 30)
+    enc = token_store.encoder(token_store.tokenizer_path())
+    texts = ["one two.", "", "three " * 20, None, "é 日 four\nfive", "six"] * 3
+    assert list(enc.encode_all(pa.array(texts))) == [enc.raw(t) if t else b"" for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    """Words times signs made as many pieces, each of them looked up wherever it came."""
+    enc = token_store.Encoder(token_store.tokenizer_path())
+    asked, find = [], enc.pieces.find
+    enc.pieces.find = lambda piece: asked.append(piece) or find(piece)
+    words = [a + b + c for a in "klmn" for b in "aeiou" for c in "prst"]
+    text = " ".join(w + s for w in words for s in (".", ",", "!", ";", ")", "$$$", ".\nAs", "")) * 2
+    assert enc.encode(text) == enc.raw(text)
+    assert len(asked) < 2 * len(words) + 20
