@@ -50,3 +50,14 @@ def test_null_planting_years_are_counted_or_refused(spark):
     assert jobs.run_bjr(spark, w, as_of, workbook_path=book) == {"n": 1, "n_rows": 3}
     assert load_workbook(spark, book, SCHEMAS["bjr"]).count() == 3
     assert jobs.run_bjr(spark, w, dt.date(2024, 6, 9), refuse_null_years=True)["n_rows"] == 0
+
+
+def test_a_month_without_rows_is_written_and_its_checks_hold(spark):
+    w = jobs.Warehouse(scratch_path(spark, "no-rows"))
+    jobs.append_readings(spark.createDataFrame([(1998, 1, "A", "1", dt.date(1998, 1, 3), 9.0)], READING), w, "load", 0)
+    jobs.write_table(spark.createDataFrame([("A", "1")], "StationEstate string, StationLokasi string"), w, "stations")
+    jobs.write_table(spark.createDataFrame([("A", "T")], "Unit string, UnitType string"), w, "unit_types")
+    jobs.run_initial_balance(spark, w)
+    for mode in ("reference", "intended"):
+        jobs.run_monthly_balance(spark, w, dt.date(1998, 5, 1), mode=mode)
+    assert [r.Bulan for r in w.read(spark, "rainfall_balance").collect()] == [1]
