@@ -308,7 +308,13 @@ def nodes_of(plan: Plan, leaves: tuple[np.ndarray, ...], least: int) -> list[np.
         (h1, h1), (h2, h2), (np.zeros_like(h3), h3), (two, n), (one, one), (two, two))]
 
 
-def build_groups(parts: DataFrame, plan: Broadcast, least: int, budget: int) -> DataFrame:
+def n_tasks(groups: int, total: int, least: int) -> int:
+    """Two tasks a group, so that few of them get several; of groups far below BUDGET, which
+    a task builds one after the other, as many share one as make up such a group."""
+    return min(2 * groups, max(least, 4 * -(-total // BUDGET) + 2))
+
+
+def build_groups(parts: DataFrame, plan: Broadcast, least: int, budget: int, total: int) -> DataFrame:
     """Build each group's subtree and return its nodes (NODES)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p: Plan = plan.value
@@ -340,9 +346,9 @@ def build_groups(parts: DataFrame, plan: Broadcast, least: int, budget: int) ->
         held.clear()
         give_back()
 
-    # Two tasks a group, so that few of them get several.
-    groups = int(plan.value.group[-1]) + 1
-    return parts.repartition(2 * groups, "part").sortWithinPartitions("part").mapInArrow(run, NODES)
+    tasks = n_tasks(int(plan.value.group[-1]) + 1, total,
+                    int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return parts.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, NODES)
 
 
 def _heavy(found: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
@@ -402,7 +408,7 @@ def phrase_nodes(docs: DataFrame, lang_col: str, text_col: str, least: int, budg
     budget = max(budget, -(-total // MAX_GROUPS))
     frequent = words.where(F.col("n") >= least).select("h", "n")
     plan, pairs = partition(spark, rows, frequent, attempt, total, budget)
-    nodes = build_groups(scan_suffixes(rows, plan), plan, least, budget)
+    nodes = build_groups(scan_suffixes(rows, plan), plan, least, budget, total)
     whole = (pairs.where(F.col("n") > budget).join(frequent.select(F.col("h").alias("h1"), F.col("n").alias("l1")), "h1")
              .select("h1", "h2", F.lit(0).cast("long").alias("h3"), F.col("n").alias("a"), "l1",
                      F.col("n").alias("l2")))

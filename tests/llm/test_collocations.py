@@ -100,3 +100,11 @@ def test_groups_stay_within_the_budget():
     group = collocations.pack(weight, 7)
     sums = [int(weight[group == g].sum()) for g in range(group.max() + 1)]
     assert (np.diff(group) >= 0).all() and all(s <= 7 or s == 9 for s in sums)
+
+
+def test_small_groups_share_tasks():
+    full = collocations.BUDGET
+    assert collocations.n_tasks(9, 6 * full, 8) == 18          # groups of the usual size: two tasks each
+    assert collocations.n_tasks(1, 10, 8) == 2
+    assert collocations.n_tasks(5000, 6000, 8) == 8            # each of them had two tasks, 10,000
+    assert collocations.n_tasks(90_000, 6 * full, 8) == 26
