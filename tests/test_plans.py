@@ -176,3 +176,20 @@ def test_fill_keeps_rows_without_a_key_out_of_the_window(spark):
         assert out.count() == 20_000 and out.where("k is null and f is not null").count() == 0
         p = plan(out)
         assert "PushedFilters: [IsNotNull(k)]" in p and "Union" in p, p
+
+
+def test_yearly_load_builds_its_inputs_once(spark, sf0001):
+    """The stand-ins' joins are not part of the plan any more; the rows are those of the plan
+    straight from the stand-ins."""
+    from palmyra.checks import queries as q
+    from palmyra.checks.standins import standin
+    from palmyra.plans import weighbridge
+    from palmyra.plans.bjr import clean_bjr
+    got = QUERIES["load_wb_actual"](spark, sf0001)
+    assert "lineitem" not in plan(got)
+    bjr, wb = standin(spark, sf0001, "bjr"), standin(spark, sf0001, "weighbridge")
+    want = q.rounded(weighbridge.load_wb_actual(
+        bjr, wb, weighbridge.prorate_netto(clean_bjr(bjr, exclude=q.WB_EXCLUDE), wb), q.AS_OF_WB,
+        exclude=q.WB_EXCLUDE))
+    rows = [sorted(map(tuple, df.collect()), key=repr) for df in (got, want)]
+    assert rows[0] == rows[1] and rows[0] and got.dtypes == want.dtypes
