@@ -221,3 +221,30 @@ def test_multiplied_rows_are_not_shuffled_and_shuffles_go(spark, sf0001):
     assert not files() - before
     assert w.read(spark, "wb_actual").count() > 0
     assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
+def test_writes_by_period_keep_a_file_open_for_each(spark, monkeypatch):
+    """No sort of a task's rows by period; beyond OPEN_PERIODS periods in a task the rows are
+    all written too, null periods are one more, and the submitter's number stays."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from palmyra.sources.writers import OPEN_FILES, OPEN_PERIODS, publish
+
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet",
+                        lambda self, *a, **k: seen.append(spark.conf.get(OPEN_FILES)) or write(self, *a, **k))
+    before = spark.conf.get(OPEN_FILES)
+    for periods in (OPEN_PERIODS - 2, 3 * OPEN_PERIODS):
+        df = spark.range(4000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % periods).alias("p")).coalesce(1)
+        for dealt in (False, True):
+            at = scratch_path(spark, "open-periods")
+            publish(df, at, ["p"], as_dealt=dealt)
+            back = spark.read.option("basePath", at).parquet(f"{at}/d=*").select("id", F.col("p").cast("long"))
+            assert _rows(back) == _rows(df)
+    assert set(seen) == {str(OPEN_PERIODS)} and spark.conf.get(OPEN_FILES) == before
+    try:
+        spark.conf.set(OPEN_FILES, "3")
+        publish(df, scratch_path(spark, "open-periods"), ["p"])
+        assert seen[-1] == "3" and spark.conf.get(OPEN_FILES) == "3"
+    finally:
+        spark.conf.unset(OPEN_FILES)
